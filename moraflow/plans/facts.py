@@ -254,8 +254,8 @@ def _side(fact: DataFrame, keys: dict, in_window, measures: dict, prefix: str) -
     return fact.groupBy(*JOIN_KEYS, *[v.alias(k) for k, v in keys.items()]).agg(*aggregates)
 
 
-def _regroup(side: DataFrame, keys: dict) -> DataFrame:
-    sums = [c for c in side.columns if c[1:2] == "_"]
+def _regroup(side: DataFrame, keys: dict, prefix: str) -> DataFrame:
+    sums = [c for c in side.columns if c.startswith(f"{prefix}_")]
     return side.groupBy(*JOIN_KEYS, *[v.alias(k) for k, v in keys.items()]).agg(*[F.sum(c).alias(c) for c in sums])
 
 
@@ -299,6 +299,7 @@ def executive_kpis_row_product(
     g = _regroup(
         g.join(in_u, JOIN_KEYS, "left"),
         {"v_g": F.when(F.col("en_u").isNull(), F.col("v_g")), "canal_g": F.col("canal_g")},
+        "g",
     )
     r = _regroup(
         r.join(in_u, JOIN_KEYS, "left").join(in_g, JOIN_KEYS, "left"),
@@ -306,6 +307,7 @@ def executive_kpis_row_product(
             "v_r": F.when(F.col("en_u").isNull() & F.col("en_g").isNull(), F.col("v_r")),
             "canal_r": F.when(F.col("en_g").isNull(), F.col("canal_r")),
         },
+        "r",
     )
     joined = u.join(g, JOIN_KEYS, "full").join(r, JOIN_KEYS, "full")
 

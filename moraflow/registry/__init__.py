@@ -1,6 +1,6 @@
 """Registered queries and their SQL oracles."""
 
 from moraflow.registry.core import ORACLES, QUERIES
-from moraflow.registry import scans_and_rules, joins_and_facts  # noqa: F401  (registration)
+from moraflow.registry import detailed, joins_and_facts, reports_quality, scans_and_rules  # noqa: F401  (registration)
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -159,9 +159,9 @@ asignacion AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 calendario AS (
   SELECT a AS cal_archivo, n_cl AS cant_cod_luna_unique, n AS cant_registros_archivo,
-         DATE '2024-01-01' + w * 7 AS fecha_asignacion, DATE '2024-01-01' + w * 7 AS fecha_trandeuda,
-         CASE WHEN w <> 2 THEN DATE '2024-01-01' + w * 7 + 13 END AS fecha_cierre, CAST(14 AS DOUBLE) AS dias_gestion,
-         CASE WHEN w = 2 THEN 'abierto' ELSE 'finalizado' END AS estado
+         DATE '2024-01-01' + w * 7 AS FECHA_ASIGNACION, DATE '2024-01-01' + w * 7 AS FECHA_TRANDEUDA,
+         CASE WHEN w <> 2 THEN DATE '2024-01-01' + w * 7 + 13 END AS FECHA_CIERRE, CAST(14 AS DOUBLE) AS DIAS_GESTION,
+         CASE WHEN w = 2 THEN 'abierto' ELSE 'finalizado' END AS ESTADO
   FROM (SELECT replace(archivo, '.txt', '') AS a, CAST(right(replace(archivo, '.txt', ''), 1) AS INTEGER) AS w,
                COUNT(DISTINCT cod_luna) AS n_cl, COUNT(*) AS n FROM asignacion GROUP BY 1, 2)),
 gestiones_bot AS (

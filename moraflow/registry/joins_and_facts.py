@@ -201,10 +201,11 @@ def d8_recovery(t):
 
 
 @query("d8_recovery_compat", """
-SELECT f.nro_documento, f.FECHA_PAGO, f.MONTO_PAGADO, COALESCE(CANAL, 'SIN_GESTION_PREVIA') AS CANAL_ATRIBUIDO
-FROM (SELECT *, CAST(fecha_pago AS DATE) AS FECHA_PAGO, monto_cancelado AS MONTO_PAGADO,
+SELECT nro_documento, dp AS FECHA_PAGO, monto_cancelado AS MONTO_PAGADO,
+       COALESCE(CANAL, 'SIN_GESTION_PREVIA') AS CANAL_ATRIBUIDO
+FROM (SELECT *, CAST(fecha_pago AS DATE) AS dp,
              ROW_NUMBER() OVER (PARTITION BY nro_documento ORDER BY fecha_pago DESC, monto_cancelado DESC) AS r
-      FROM pagos_atribuidos) f WHERE r = 1
+      FROM pagos_atribuidos) WHERE r = 1
 """)
 def d8_recovery_compat(t):
     """One payment per document, as the document-wise ranking leaves it."""
