@@ -1,6 +1,12 @@
 """Registered queries and their SQL oracles."""
 
 from moraflow.registry.core import ORACLES, QUERIES
-from moraflow.registry import detailed, joins_and_facts, reports_quality, scans_and_rules  # noqa: F401  (registration)
+from moraflow.registry import (  # noqa: F401  (registration)
+    detailed,
+    joins_and_facts,
+    reports_quality,
+    runs,
+    scans_and_rules,
+)
 
 __all__ = ["ORACLES", "QUERIES"]

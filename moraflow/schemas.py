@@ -5,8 +5,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from 'name type [NOT NULL], ...'; needs no running session, unlike the DDL parser."""
+    fields = []
+    for column in columns.split(","):
+        name, kind, *constraint = column.split()
+        fields.append(T.StructField(name, TYPES[kind], nullable=not constraint))
+    return T.StructType(fields)
 
 
 INPUTS = {
@@ -81,16 +92,16 @@ OUTPUTS = {
         "FECHA_ULTIMA_ACTUALIZACION timestamp"
     ),
     "dias_habiles": _struct(
-        "FECHA date NOT NULL, `AÑO` bigint NOT NULL, MES bigint NOT NULL, DIA bigint NOT NULL, "
-        "ES_DIA_HABIL boolean NOT NULL, DIA_HABIL_DEL_MES bigint, `DIA_HABIL_DEL_AÑO` bigint, "
+        "FECHA date NOT NULL, AÑO bigint NOT NULL, MES bigint NOT NULL, DIA bigint NOT NULL, "
+        "ES_DIA_HABIL boolean NOT NULL, DIA_HABIL_DEL_MES bigint, DIA_HABIL_DEL_AÑO bigint, "
         "NOMBRE_DIA_SEMANA string, ES_FERIADO boolean, NOMBRE_FERIADO string, "
-        "FECHA_MISMO_DIA_HABIL_MES_ANTERIOR date, `FECHA_MISMO_DIA_HABIL_AÑO_ANTERIOR` date"
+        "FECHA_MISMO_DIA_HABIL_MES_ANTERIOR date, FECHA_MISMO_DIA_HABIL_AÑO_ANTERIOR date"
     ),
 }
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of `schema`, by name, cast and in order; a null in a NOT NULL column fails the job.
+    """Columns of schema, by name, cast and in order; a null in a NOT NULL column fails the job.
 
     The check is an expression on the row, so it costs no extra pass over the data.
     """

@@ -1,5 +1,8 @@
 """Session settings the operators rely on."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -34,3 +37,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """New folder on the storage the cluster shares (spark.checkpoint.dir); a local one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="moraflow-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
