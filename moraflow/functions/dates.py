@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 
 def _dated(year: Column, month: Column, day: Column) -> Column:
-    return F.when(year != "0000", F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd"))
+    """Date of three digit texts, null where there is no such day."""
+    # A cast parses without a formatter and without raising for invalid dates.
+    dash = F.lit("-")
+    return F.when(year != "0000", F.concat(year, dash, month, dash, day).try_cast("date"))
+
+
+def _digits(file_name: Column, pattern: str) -> Column:
+    """First match of the pattern's group, null where there is none."""
+    return F.nullif(F.regexp_extract(file_name, pattern, 1), F.lit(""))
 
 
 def file_date(file_name: Column, year: Column) -> Column:
@@ -13,14 +21,11 @@ def file_date(file_name: Column, year: Column) -> Column:
 
     An invalid date in one pattern falls through to the next.
     """
-    def part(pattern, group):
-        return F.regexp_extract(file_name, pattern, group)
-
-    ymd, dm, dmy = r"(\d{4})(\d{2})(\d{2})", r"TRAN_DEUDA_(\d{2})(\d{2})", r"(\d{2})(\d{2})(\d{4})"
+    eight, four = _digits(file_name, r"(\d{8})"), _digits(file_name, r"TRAN_DEUDA_(\d{4})")
     return F.coalesce(
-        _dated(part(ymd, 1), part(ymd, 2), part(ymd, 3)),
-        _dated(F.lpad(year.cast("string"), 4, "0"), part(dm, 2), part(dm, 1)),
-        _dated(part(dmy, 3), part(dmy, 2), part(dmy, 1)),
+        _dated(F.substring(eight, 1, 4), F.substring(eight, 5, 2), F.substring(eight, 7, 2)),
+        _dated(F.lpad(year.cast("string"), 4, "0"), F.substring(four, 3, 2), F.substring(four, 1, 2)),
+        _dated(F.substring(eight, 5, 4), F.substring(eight, 3, 2), F.substring(eight, 1, 2)),
     )
 
 
@@ -29,15 +34,11 @@ def debt_date(file_name: Column, created: Column) -> Column:
 
     Null where the name holds an impossible date.
     """
-    ddmm = r"TRAN_DEUDA_(\d{2})(\d{2})"
-    return F.when(
-        file_name.rlike(ddmm),
-        _dated(
-            F.date_format(created, "yyyy"),
-            F.regexp_extract(file_name, ddmm, 2),
-            F.regexp_extract(file_name, ddmm, 1),
-        ),
-    ).otherwise(F.to_date(created))
+    four = _digits(file_name, r"TRAN_DEUDA_(\d{4})")
+    named = _dated(
+        F.lpad(F.year(created).cast("string"), 4, "0"), F.substring(four, 3, 2), F.substring(four, 1, 2)
+    )
+    return F.when(four.isNotNull(), named).otherwise(F.to_date(created))
 
 
 def easter(year: Column) -> Column:

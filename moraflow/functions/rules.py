@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from moraflow.functions import fixed_values as fv
 
-MONEY = "decimal(18,2)"
 RATIO_PLACES = 6
 
 
@@ -29,9 +28,18 @@ def or_default(c: Column, value) -> Column:
 
 # ---- exact sums and ratios -------------------------------------------------------------------
 
+def cents(c: Column) -> Column:
+    """Amount in whole cents, as a long: exact sums in any order, at the cost of primitive arithmetic."""
+    return F.floor(c * 100 + 0.5)
+
+
+def from_cents(total: Column) -> Column:
+    return F.coalesce(total, F.lit(0)).cast("double") / 100
+
+
 def money_sum(c: Column) -> Column:
-    """Order-independent money total: summed as decimal, returned as double, 0 for no rows."""
-    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
+    """Order-independent money total, 0 for no rows."""
+    return from_cents(F.sum(cents(c)))
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -44,10 +52,14 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
     return F.coalesce(F.when(den > 0, ratio(num, den)), F.lit(0.0))
 
 
+def millionths(c: Column) -> Column:
+    """Ratio in whole millionths (the places it is rounded to), as a long."""
+    return F.floor(c * 1_000_000 + 0.5)
+
+
 def mean_of(c: Column) -> Column:
     """Order-independent mean of a rounded ratio column."""
-    total = F.sum(c.cast("decimal(24,6)"))
-    return ratio(total, F.count(c))
+    return ratio(F.sum(millionths(c)).cast("double") / 1_000_000, F.count(c))
 
 
 # ---- assignment rules ------------------------------------------------------------------------

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from moraflow.functions import rules
+
 GESTION = ["fecha_gestion", "CANAL", "OPERADOR_FINAL", "es_compromiso", "fecha_compromiso", "monto_compromiso"]
 ASSIGNMENT = ["cod_luna", "CARTERA", "SERVICIO", "VENCIMIENTO", "CATEGORIA_VENCIMIENTO", "ID_ARCHIVO_ASIGNACION"]
 
@@ -33,7 +35,7 @@ def with_latest_assignment(payments: DataFrame, latest: DataFrame) -> DataFrame:
 def payment_chain(payments: DataFrame, debt: DataFrame, universe: DataFrame, dims: list[str]) -> DataFrame:
     """Rows and amount of the full payment x debt x assignment chain per dimension, from counts alone."""
     paid = payments.groupBy("nro_documento").agg(
-        F.count(F.lit(1)).alias("q_pagos"), F.sum(F.col("monto_cancelado").cast("decimal(18,2)")).alias("monto")
+        F.count(F.lit(1)).alias("q_pagos"), F.sum(rules.cents(F.col("monto_cancelado"))).alias("centavos")
     )
     owed = debt.groupBy("nro_documento", "cod_cuenta").agg(F.count(F.lit(1)).alias("q_deudas"))
     held = universe.groupBy(F.col("cuenta").cast("string").alias("cod_cuenta"), *dims).agg(
@@ -45,7 +47,7 @@ def payment_chain(payments: DataFrame, debt: DataFrame, universe: DataFrame, dim
     chain = per_document.join(paid, "nro_documento")
     return chain.groupBy(*dims).agg(
         F.sum(F.col("q_pagos") * F.col("q_enlaces")).alias("filas"),
-        F.sum(F.col("monto") * F.col("q_enlaces").cast("decimal(10,0)")).cast("double").alias("monto"),
+        rules.from_cents(F.sum(F.col("centavos") * F.col("q_enlaces"))).alias("monto"),
     )
 
 

@@ -62,7 +62,7 @@ def detailed_responses(interactions: DataFrame) -> DataFrame:
     """
     keys = ["cod_luna", *RESPONSE]
     duration = F.col("duracion").cast("decimal(18,6)")
-    amount = F.col("monto_compromiso").cast(rules.MONEY)
+    amount = rules.cents(F.col("monto_compromiso"))
     management = F.col("management")
     per_instant = interactions.groupBy(*keys, "date").agg(
         F.count(F.lit(1)).alias("q"),
@@ -70,10 +70,10 @@ def detailed_responses(interactions: DataFrame) -> DataFrame:
         F.count(duration).alias("q_duracion"),
         F.count_if(rules.is_effective_exact(management)).alias("q_efectivos"),
         F.count_if(rules.declares_commitment(management)).alias("q_compromisos"),
-        F.sum(amount).alias("monto"),
-        F.count_if(amount > 0).alias("q_montos"),
+        F.sum(amount).alias("centavos"),
+        F.count_if(F.col("monto_compromiso") > 0).alias("q_montos"),
     )
-    sums = ["q", "duracion", "q_duracion", "q_efectivos", "q_compromisos", "monto", "q_montos"]
+    sums = ["q", "duracion", "q_duracion", "q_efectivos", "q_compromisos", "centavos", "q_montos"]
     return per_instant.groupBy(*keys, F.to_date("date").alias("FECHA_SERVICIO")).agg(
         *[F.sum(c).alias(c) for c in sums],
         F.min("date").alias("primera"),

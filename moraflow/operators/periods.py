@@ -39,7 +39,7 @@ def daily_responses(harmonised: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("q"),
         F.sum("es_contacto_efectivo").alias("q_efectivos"),
         F.sum("es_compromiso").alias("q_promesas"),
-        F.sum(F.col("monto_compromiso").cast(rules.MONEY)).alias("monto"),
+        F.sum(rules.cents(F.col("monto_compromiso"))).alias("centavos"),
         F.min("fecha_gestion").alias("primera"),
     )
 

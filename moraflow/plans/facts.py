@@ -66,7 +66,7 @@ def match_debt(universe: DataFrame, debt: DataFrame) -> DataFrame:
     debt rows it stands for.
     """
     owed = debt.groupBy("cod_cuenta", "fecha_deuda_construida").agg(
-        F.sum(F.col("monto_exigible").cast(rules.MONEY)).alias("monto_exigible"),
+        F.sum(rules.cents(F.col("monto_exigible"))).alias("centavos"),
         F.count(F.lit(1)).alias("q_deudas"),
     )
     keyed = universe.withColumn("cod_cuenta", F.col("cuenta").cast("string"))
@@ -84,21 +84,21 @@ def universe_fact(
     """
     rows = match_debt(universe.where(window.covers("FECHA_ASIGNACION")), debt)
     if dedupe_account:
-        one = [F.min(c).alias(c) for c in ("cliente", "OBJ_RECUPERO", "DIAS_GESTION", "monto_exigible", "q_deudas")]
+        one = [F.min(c).alias(c) for c in ("cliente", "OBJ_RECUPERO", "DIAS_GESTION", "centavos", "q_deudas")]
         rows = rows.groupBy(*UNIVERSE_KEYS, "cuenta").agg(*one)
     # An assignment row without debt still counts once in the averages, one with n debt rows n times.
     weight = F.greatest(F.coalesce("q_deudas", F.lit(1)), F.lit(1))
 
     def weighted_mean(c):
         known = F.when(F.col(c).isNotNull(), weight)
-        total = F.sum(F.col(c).cast("decimal(18,6)") * weight.cast("decimal(10,0)"))
+        total = F.sum(rules.millionths(F.col(c)) * weight).cast("double") / 1_000_000
         return rules.ratio(total, F.sum(known))
 
     return rows.groupBy(*UNIVERSE_KEYS).agg(
         weighted_mean("OBJ_RECUPERO").alias("OBJ_RECUPERO"),
         F.count_distinct("cuenta").alias("Q_CUENTAS_ASIGNADAS"),
         F.count_distinct("cliente").alias("Q_CLIENTES_ASIGNADOS"),
-        rules.money_sum(F.col("monto_exigible")).alias("MONTO_EXIGIBLE_ASIGNADO"),
+        rules.from_cents(F.sum("centavos")).alias("MONTO_EXIGIBLE_ASIGNADO"),
         weighted_mean("DIAS_GESTION").alias("DIAS_GESTION_DISPONIBLES"),
     )
 
@@ -121,12 +121,12 @@ def daily_management(universe: DataFrame, harmonised: DataFrame, window: RunWind
         F.sum(F.col("q") * accounts).alias("q"),
         F.sum(F.col("q_efectivos") * accounts).alias("q_efectivos"),
         F.sum(F.col("q_promesas") * accounts).alias("q_promesas"),
-        F.sum(F.col("monto") * accounts.cast("decimal(10,0)")).cast("decimal(38,2)").alias("monto"),
+        F.sum(F.col("centavos") * accounts).alias("centavos"),
         F.count_if("es_primera").alias("q_primeras"),
     )
     has_promise = F.col("cliente").isNotNull() & (F.col("q_promesas") > 0)
     total, effective, promises = F.sum("q"), F.sum("q_efectivos"), F.sum("q_promesas")
-    amount = F.sum("monto").cast("double")
+    amount = rules.from_cents(F.sum("centavos"))
     return per_client.groupBy(*DAILY_KEYS).agg(
         total.alias("Q_INTERACCIONES_TOTAL"),
         effective.alias("Q_CONTACTOS_EFECTIVOS"),

@@ -36,16 +36,13 @@ def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = F
     def times(c):
         return F.sum(F.col(c) * n)
 
-    def times_exact(c, kind):
-        return F.sum(F.col(c) * n.cast("decimal(10,0)")).cast(kind)
-
     rows = grouped.withColumn("FECHA_INICIO_GESTION", F.col("FECHA_ASIGNACION"))
     if compat:
         rows = rows.dropna(subset=DIMENSIONS)
     # Periods are reported apart even where all fifteen dimensions agree.
     totals = rows.groupBy("archivo", *DIMENSIONS).agg(
         times("q").alias("total_interacciones"),
-        F.coalesce(times_exact("duracion", "decimal(38,6)"), F.lit(0).cast("decimal(38,6)")).alias("duracion"),
+        F.coalesce(F.sum(F.col("duracion") * n.cast("decimal(10,0)")).cast("decimal(38,6)"), F.lit(0)).alias("duracion"),
         times("q_duracion").alias("q_duracion"),
         F.count_distinct("cliente").alias("clientes_unicos_contactados"),
         times("q_efectivos").alias("contactos_efectivos"),
@@ -53,8 +50,7 @@ def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = F
         F.sum("q_primera_cliente").alias("primera_vez_contactados"),
         F.sum("q_primera_efectiva").alias("primera_vez_efectivos"),
         F.sum("q_primera_cartera").alias("primera_vez_cartera_canal"),
-        F.coalesce(times_exact("monto", "decimal(38,2)"), F.lit(0).cast("decimal(38,2)")).cast("double")
-        .alias("monto_total_comprometido"),
+        rules.from_cents(times("centavos")).alias("monto_total_comprometido"),
         times("q" if compat else "q_montos").alias("cantidad_compromisos"),
     )
     days = calendar.select(
@@ -136,15 +132,14 @@ def base_portfolio(base: DataFrame, debt: DataFrame, payments: DataFrame, compat
     Debt counts where its date is the debt date of the period; `compat` takes all debt rows of the account, and drops
     portfolios with a null key.
     """
-    money = rules.MONEY
     if compat:
         owed_keys, base = ["cod_cuenta"], base.dropna(subset=PORTFOLIO_KEYS)
     else:
         owed_keys = ["cod_cuenta", "FECHA_TRANDEUDA"]
         debt = debt.withColumnRenamed("fecha_deuda_construida", "FECHA_TRANDEUDA")
-    owed = debt.groupBy(*owed_keys).agg(F.sum(F.col("monto_exigible").cast(money)).alias("deuda"))
+    owed = debt.groupBy(*owed_keys).agg(F.sum(rules.cents(F.col("monto_exigible"))).alias("deuda"))
     paid = payments.groupBy(F.col("cod_sistema").alias("cod_cuenta")).agg(
-        F.sum(F.col("monto_cancelado").cast(money)).alias("pago")
+        F.sum(rules.cents(F.col("monto_cancelado"))).alias("pago")
     )
     # Both sums are one row per account (and date), so the joins keep one row per assignment row.
     rows = (
@@ -152,13 +147,12 @@ def base_portfolio(base: DataFrame, debt: DataFrame, payments: DataFrame, compat
         .join(owed, owed_keys, "left")
         .join(paid, "cod_cuenta", "left")
     )
-    zero = F.lit(0).cast("decimal(38,2)")
     totals = rows.groupBy(*PORTFOLIO_KEYS).agg(
         F.count("cod_luna").alias("total_cod_lunas"),
         F.count_distinct("cuenta").alias("cuentas_unicas"),
         F.count_distinct("cliente").alias("clientes_unicos"),
-        F.coalesce(F.sum("deuda"), zero).cast("double").alias("monto_exigible"),
-        F.coalesce(F.sum("pago"), zero).cast("double").alias("monto_cancelado"),
+        rules.from_cents(F.sum("deuda")).alias("monto_exigible"),
+        rules.from_cents(F.sum("pago")).alias("monto_cancelado"),
     )
     recovery = rules.ratio_or_zero(F.col("monto_cancelado"), F.col("monto_exigible"))
     return totals.withColumn("ratio_recuperacion", recovery)

@@ -72,7 +72,8 @@ FROM universo LEFT JOIN deuda ON CAST(cuenta AS VARCHAR) = cod_cuenta AND FECHA_
 """)
 def c9(t):
     rows = facts.match_debt(t.universe, t.debt)
-    return rows.select("cuenta", "FECHA_TRANDEUDA", F.col("monto_exigible").cast("double"))
+    amount = F.when(F.col("centavos").isNotNull(), rules.from_cents(F.col("centavos")))
+    return rows.select("cuenta", "FECHA_TRANDEUDA", amount.alias("monto_exigible"))
 
 
 @query("c10_interval", """
@@ -87,7 +88,7 @@ def c10(t):
     return rows.groupBy("FECHA_SERVICIO", "ID_ARCHIVO_ASIGNACION", "CANAL").agg(
         F.sum(F.col("q") * n).alias("filas"),
         F.count_distinct("cliente").alias("clientes"),
-        F.sum(F.col("monto") * n.cast("decimal(10,0)")).cast("double").alias("monto"),
+        rules.from_cents(F.sum(F.col("centavos") * n)).alias("monto"),
     )
 
 

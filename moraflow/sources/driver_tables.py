@@ -138,7 +138,7 @@ class DriverTables:
         k = F.col("o_orderkey")
         dated = F.concat(
             F.lit("TRAN_DEUDA_"),
-            F.date_format(F.date_add(F.lit(DAY_0), (_wave() * 7).cast("int")), "ddMM"),
+            F.when(_wave() == 0, "0101").when(_wave() == 1, "0801").otherwise("1501"),
             F.lit(".txt"),
         )
         return self.raw("orders").select(
