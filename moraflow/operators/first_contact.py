@@ -81,6 +81,30 @@ def detailed_responses(interactions: DataFrame) -> DataFrame:
     )
 
 
+def _first_by_portfolio(responses: DataFrame, base: DataFrame) -> DataFrame:
+    """First contact per (file, channel, client, portfolio) and per (file, channel, client), and whether the client has
+    an effective contact there.
+
+    The window over a client holds one row per portfolio: everything below that is already combined.
+    """
+    held = base.select("cod_luna", "cliente", "archivo", "CARTERA", "FECHA_ASIGNACION", "FECHA_CIERRE").distinct()
+    daily = responses.groupBy("cod_luna", "FECHA_SERVICIO", "CANAL").agg(
+        F.min("primera").alias("primera"), F.sum("q_efectivos").alias("q_efectivos")
+    )
+    keys = ["archivo", "CANAL", "cliente"]
+    firsts = periods.match_periods(daily, held).where(F.col("cliente").isNotNull()).groupBy(*keys, "CARTERA").agg(
+        F.min("primera").alias("primera_cartera"), F.sum("q_efectivos").alias("q_efectivos_cartera")
+    )
+    client = W.partitionBy(*keys)
+    return firsts.select(
+        *keys,
+        "CARTERA",
+        "primera_cartera",
+        F.min("primera_cartera").over(client).alias("primera_cliente"),
+        (F.max("q_efectivos_cartera").over(client) > 0).alias("tiene_efectivo"),
+    )
+
+
 def contacts_in_period(responses: DataFrame, base: DataFrame, dims: list[str]) -> DataFrame:
     """Grouped responses x grouped accounts of the same client within the period, with first-time row counts.
 
@@ -89,24 +113,23 @@ def contacts_in_period(responses: DataFrame, base: DataFrame, dims: list[str]) -
     accounts = base.groupBy("cod_luna", "cliente", "archivo", "FECHA_ASIGNACION", "FECHA_CIERRE", *dims).agg(
         F.count(F.lit(1)).alias("q_cuentas")
     )
-    matched = periods.match_periods(responses, accounts)
-    # The windows hold grouped rows (days x responses x dimensions of a client), not interactions.
-    client = W.partitionBy("archivo", "CANAL", "cliente")
-    first = F.min("primera").over(client)
-    first_in_portfolio = F.min("primera").over(W.partitionBy("archivo", "CANAL", "cliente", "CARTERA"))
-    any_effective = F.max(F.col("q_efectivos") > 0).over(client)
+    # The first contacts are one row per key, so the join keeps the rows, and a client with many of them can be split.
+    matched = periods.match_periods(responses, accounts).join(
+        _first_by_portfolio(responses, base), ["archivo", "CANAL", "cliente", "CARTERA"], "left"
+    )
     tied = F.col("q_primera") * F.col("q_cuentas")
 
     def rows_where(flag: Column) -> Column:
-        return F.when(F.col("cliente").isNotNull() & flag, tied).otherwise(F.lit(0))
+        return F.when(flag, tied).otherwise(F.lit(0))
 
+    first = F.col("primera") == F.col("primera_cliente")
     return matched.withColumns(
         {
-            "q_primera_cliente": rows_where(F.col("primera") == first),
-            "q_primera_cartera": rows_where(F.col("primera") == first_in_portfolio),
-            "tiene_efectivo": any_effective,
+            "q_primera_cliente": rows_where(first),
+            "q_primera_cartera": rows_where(F.col("primera") == F.col("primera_cartera")),
+            "q_primera_efectiva": rows_where(first & F.col("tiene_efectivo")),
         }
-    ).withColumn("q_primera_efectiva", F.when(F.col("tiene_efectivo"), F.col("q_primera_cliente")).otherwise(0))
+    )
 
 
 def flag_first_contacts(interactions: DataFrame, base: DataFrame, effective_only: bool = False) -> DataFrame:

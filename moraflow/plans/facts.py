@@ -4,7 +4,6 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from moraflow.functions import fixed_values as fv
@@ -103,26 +102,42 @@ def universe_fact(
     )
 
 
+def _first_of_client_days(daily: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The combination of dimensions under which the first interaction of each client's day is counted.
+
+    The first response of a day is picked before the accounts come in, and the choice is a minimum with map-side
+    combine: a client's day is never gathered in one task.
+    """
+    response = F.min(F.struct("primera", *periods.RESPONSE)).alias("primera")
+    firsts = daily.groupBy("cod_luna", "FECHA_SERVICIO").agg(response)
+    order = F.struct("primera", "primera_cuenta", *ACCOUNT_DIMS, "cod_luna", "FECHA_ASIGNACION")
+    winners = periods.match_periods(firsts, accounts).groupBy("cliente", "FECHA_SERVICIO").agg(
+        F.min(order).alias("elegida")
+    )
+    return winners.select(
+        "cliente",
+        "FECHA_SERVICIO",
+        *[F.col(f"elegida.primera.{c}").alias(c) for c in periods.RESPONSE],
+        *[F.col(f"elegida.{c}").alias(c) for c in ACCOUNT_DIMS],
+    )
+
+
 def daily_management(universe: DataFrame, harmonised: DataFrame, window: RunWindow) -> DataFrame:
     """Interactions of assigned clients per day and reporting dimension."""
     in_window = harmonised.where(rules.within_days(F.col("fecha_gestion"), window.first, window.last))
-    matched = periods.match_periods(
-        periods.daily_responses(in_window), periods.account_groups(universe, ACCOUNT_DIMS)
+    daily = periods.daily_responses(in_window)
+    accounts = periods.account_groups(universe, ACCOUNT_DIMS)
+    n, zero = F.col("q_cuentas"), F.lit(0).cast("bigint")
+    sums = ["q", "q_efectivos", "q_promesas", "centavos"]
+    measured = periods.match_periods(daily, accounts).select(
+        *DAILY_KEYS, "cliente", *[(F.col(c) * n).alias(c) for c in sums], zero.alias("q_primeras")
     )
-    # The first interaction of a client's day is counted under one combination of dimensions only.
-    day = W.partitionBy("cliente", "FECHA_SERVICIO").orderBy(
-        "primera", *periods.RESPONSE, "primera_cuenta", *ACCOUNT_DIMS, "cod_luna", "FECHA_ASIGNACION"
+    firsts = _first_of_client_days(daily, accounts).select(
+        *DAILY_KEYS, "cliente", *[zero.alias(c) for c in sums], F.lit(1).cast("bigint").alias("q_primeras")
     )
-    accounts = F.col("q_cuentas")
-    rows = matched.withColumn("es_primera", F.row_number().over(day) == 1)
-    # Per client first: the window has already placed a client's day in one partition, so this adds no shuffle, and
-    # the distinct clients of the next step become a plain count.
-    per_client = rows.groupBy(*DAILY_KEYS, "cliente").agg(
-        F.sum(F.col("q") * accounts).alias("q"),
-        F.sum(F.col("q_efectivos") * accounts).alias("q_efectivos"),
-        F.sum(F.col("q_promesas") * accounts).alias("q_promesas"),
-        F.sum(F.col("centavos") * accounts).alias("centavos"),
-        F.count_if("es_primera").alias("q_primeras"),
+    # Per client first, so that the distinct clients of the next step become a plain count.
+    per_client = measured.unionByName(firsts).groupBy(*DAILY_KEYS, "cliente").agg(
+        *[F.sum(c).alias(c) for c in [*sums, "q_primeras"]]
     )
     has_promise = F.col("cliente").isNotNull() & (F.col("q_promesas") > 0)
     total, effective, promises = F.sum("q"), F.sum("q_efectivos"), F.sum("q_promesas")
