@@ -11,17 +11,14 @@ def _dated(year: Column, month: Column, day: Column) -> Column:
     return F.when(year != "0000", F.concat(year, dash, month, dash, day).try_cast("date"))
 
 
-def _digits(file_name: Column, pattern: str) -> Column:
-    """First match of the pattern's group, null where there is none."""
-    return F.nullif(F.regexp_extract(file_name, pattern, 1), F.lit(""))
-
-
 def file_date(file_name: Column, year: Column) -> Column:
     """Date in a file name: YYYYMMDD, then TRAN_DEUDA_DDMM of `year`, then DDMMYYYY.
 
     An invalid date in one pattern falls through to the next.
     """
-    eight, four = _digits(file_name, r"(\d{8})"), _digits(file_name, r"TRAN_DEUDA_(\d{4})")
+    # No match gives an empty text, which is no date.
+    eight = F.regexp_extract(file_name, r"(\d{8})", 1)
+    four = F.regexp_extract(file_name, r"TRAN_DEUDA_(\d{4})", 1)
     return F.coalesce(
         _dated(F.substring(eight, 1, 4), F.substring(eight, 5, 2), F.substring(eight, 7, 2)),
         _dated(F.lpad(year.cast("string"), 4, "0"), F.substring(four, 3, 2), F.substring(four, 1, 2)),
@@ -34,11 +31,11 @@ def debt_date(file_name: Column, created: Column) -> Column:
 
     Null where the name holds an impossible date.
     """
-    four = _digits(file_name, r"TRAN_DEUDA_(\d{4})")
+    four = F.regexp_extract(file_name, r"TRAN_DEUDA_(\d{4})", 1)
     named = _dated(
         F.lpad(F.year(created).cast("string"), 4, "0"), F.substring(four, 3, 2), F.substring(four, 1, 2)
     )
-    return F.when(four.isNotNull(), named).otherwise(F.to_date(created))
+    return F.when(four != "", named).otherwise(F.to_date(created))
 
 
 def easter(year: Column) -> Column:

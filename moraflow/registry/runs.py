@@ -35,6 +35,29 @@ def a10(t):
     return stored.groupBy("FECHA_SERVICIO").agg(F.count(F.lit(1)).alias("filas"))
 
 
+@query("a11_contract", "SELECT * FROM fact_recupero")
+def a11(t):
+    """Recovery rows through the typed contract: a null in a NOT NULL column would fail the job."""
+    return conform(t.recovery, OUTPUTS["recupero_atribuido"])
+
+
+@query("a12_backup", "SELECT CARTERA, COUNT(*) AS filas FROM fact_universo GROUP BY 1")
+def a12(t):
+    path = shared_folder(t.spark, "a12")
+    sinks.append(conform(t.universe_fact, OUTPUTS["asignacion_universo"]), "asignacion_universo", path)
+    copy = sinks.backup(t.spark, "asignacion_universo", path, "20240131_000000")
+    return t.spark.read.parquet(copy).groupBy("CARTERA").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@query("a13_statistics", """
+SELECT 'orders' AS tabla, COUNT(*) AS num_rows, TRUE AS con_fecha FROM orders
+UNION ALL SELECT 'events', COUNT(*), TRUE FROM events""")
+def a13(t):
+    """Rows and file metadata of the stored tables; sizes and times differ by storage, so they are left out here."""
+    stats = sinks.statistics(t.spark, {n: f"{t.path}/{n}.parquet" for n in ("orders", "events")})
+    return stats.select("tabla", "num_rows", F.col("last_modified").isNotNull().alias("con_fecha"))
+
+
 @query("a14_views", """
 SELECT CARTERA, CANAL, COUNT(*) AS filas FROM (
   SELECT DISTINCT FECHA_CALCULO, VENCIMIENTO, CARTERA, SERVICIO, CANAL FROM fact_kpis

@@ -11,12 +11,16 @@ from moraflow.sources import scans
 from moraflow.sources.driver_tables import AS_OF, DAY_0
 
 FIRST, LAST = date(2024, 1, 5), date(2024, 1, 20)
-HALF = "w0_files"
 
 
-def _clients(t):
-    """Clients of the first wave of assignment files."""
-    return t.accounts().where(F.col("archivo").contains("_W0")).select("cod_luna")
+def open_clients(t):
+    """Clients assigned in the open periods of the month."""
+    files = scans.period_files(scans.periods_of_month(t.calendario(), DAY_0, "abierto"))
+    return scans.assignment_of_files(t.accounts(), files).select("cod_luna")
+
+
+OPEN_CLIENTS = """(SELECT cod_luna FROM asignacion WHERE archivo IN (
+    SELECT cal_archivo || '.txt' FROM calendario WHERE estado = 'abierto'))"""
 
 
 @query("a1_calendar_scan", """
@@ -40,25 +44,25 @@ def a2(t):
     )
 
 
-@query("a3_bot_scan", """
+@query("a3_bot_scan", f"""
 SELECT TRY_CAST(document AS BIGINT) AS cod_luna, date, management, sub_management, compromiso, duracion
 FROM gestiones_bot
 WHERE CAST(date AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND TRY_CAST(document AS BIGINT) IS NOT NULL
-  AND TRY_CAST(document AS BIGINT) IN (SELECT cod_luna FROM asignacion WHERE contains(archivo, '_W0'))
+  AND TRY_CAST(document AS BIGINT) IN {OPEN_CLIENTS}
 """)
 def a3(t):
-    return scans.interactions_of_clients(t.gestiones_bot(), _clients(t), FIRST, LAST).drop("fecha_compromiso")
+    return scans.interactions_of_clients(t.gestiones_bot(), open_clients(t), FIRST, LAST).drop("fecha_compromiso")
 
 
-@query("a4_human_scan", """
+@query("a4_human_scan", f"""
 SELECT TRY_CAST(document AS BIGINT) AS cod_luna, date, management, sub_management, n1, n2, n3, monto_compromiso,
        fecha_compromiso, nombre_agente, duracion
 FROM gestiones_humano
 WHERE CAST(date AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND TRY_CAST(document AS BIGINT) IS NOT NULL
-  AND TRY_CAST(document AS BIGINT) IN (SELECT cod_luna FROM asignacion WHERE contains(archivo, '_W0'))
+  AND TRY_CAST(document AS BIGINT) IN {OPEN_CLIENTS}
 """)
 def a4(t):
-    return scans.interactions_of_clients(t.gestiones_humano(), _clients(t), FIRST, LAST)
+    return scans.interactions_of_clients(t.gestiones_humano(), open_clients(t), FIRST, LAST)
 
 
 @query("a5_debt_files", "SELECT DISTINCT archivo FROM tran_deuda")
