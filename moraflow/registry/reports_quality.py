@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from moraflow.functions import rules
 from moraflow.operators import calendar as cal
-from moraflow.plans import facts, migration, quality, reports
+from moraflow.plans import facts, migration, portfolio, quality, reports
 from moraflow.registry.core import WINDOW, query
 from moraflow.registry.detailed import STORED, _agregada, agregada_sql
 from moraflow.registry.scans_and_rules import AS_OF
+from moraflow.sources import scans
 from moraflow.sources.driver_tables import DAY_0
 
 
@@ -369,16 +371,12 @@ SELECT (SELECT COUNT(*) FROM mes) AS archivos, (SELECT MIN(FECHA_ASIGNACION) FRO
        COUNT(DISTINCT telefono) AS telefonos_unicos
 FROM asignacion WHERE archivo IN (SELECT cal_archivo || '.txt' FROM mes)""")
 def m10(t):
-    from moraflow.sources import scans
-
     return reports.month_summary(scans.periods_of_month(t.calendario(), DAY_0, "finalizado"), t.accounts())
 
 
 @query("f3_ordered_amounts", f"""
 SELECT CARTERA, {money_sql('MONTO_EXIGIBLE_ASIGNADO')} AS monto FROM fact_universo GROUP BY 1 ORDER BY 2 DESC""")
 def f3(t):
-    from moraflow.functions import rules
-
     return t.universe_fact.groupBy("CARTERA").agg(
         rules.money_sum(F.col("MONTO_EXIGIBLE_ASIGNADO")).alias("monto")
     ).orderBy(F.desc("monto"))
@@ -390,8 +388,6 @@ def f3(t):
 SELECT 'base_cartera' AS table_name, COUNT(*) AS row_count, 9 AS column_count, 'PASS' AS status
 FROM (SELECT DISTINCT CARTERA, FECHA_ASIGNACION, SERVICIO FROM base_p)""")
 def l1(t):
-    from moraflow.plans import portfolio
-
     outputs = {"base_cartera": portfolio.base_portfolio(t.base, t.debt, t.pagos())}
     return quality.quality_report(outputs).drop("issues")
 
