@@ -40,6 +40,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder on the storage the cluster shares (spark.checkpoint.dir); a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="moraflow-")
+    """New folder on the storage the cluster shares, named in spark.checkpoint.dir.
+
+    Where that is unset, a local master gets one temporary root for the session, as in tests; any other master fails,
+    because its executors would each write to a disk of their own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not (spark.conf.get("spark.master", None) or "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="moraflow-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
