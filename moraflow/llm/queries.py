@@ -2,7 +2,7 @@
 
 import os
 
-from moraflow.llm import bpe, line_dedup, pii, suffix_dedup, window_dedup
+from moraflow.llm import bpe, line_dedup, pii, shingle_join, suffix_dedup, window_dedup
 from moraflow.llm.texts import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -11,6 +11,7 @@ BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 QUERIES = {
     "op1_suffix_array_dedup": lambda spark, d: suffix_dedup.report(table(spark, d, "documents")),
     "op4_window_dedup": lambda spark, d: window_dedup.report(table(spark, d, "documents")),
+    "op5_shingle_join": lambda spark, d: shingle_join.report(table(spark, d, "documents")),
     "op6_byte_bpe": lambda spark, d: bpe.encode_and_decode(table(spark, d, "documents"), BYTE_BPE),
     "op9_pii_anchors": lambda spark, d: pii.find(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: line_dedup.report(table(spark, d, "documents")),
@@ -35,6 +36,20 @@ ORACLES = {
             sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ')
                    ELSE coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(ps, i)), ' '), '') END) AS kept_sha256
         FROM docs LEFT JOIN lists USING (doc_id)""",
+    "op5_shingle_join": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, {WORDS.format(ASCII_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) >= 5 THEN
+                list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))
+                WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END AS s FROM docs),
+        shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y USING (g)
+            WHERE x.doc_id <> y.doc_id AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)
+            GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+        reach AS (SELECT doc_id, doc_id AS r FROM sets UNION SELECT b, r FROM reach JOIN pairs ON reach.doc_id = a)
+        SELECT sets.doc_id, len(any_value(s))::BIGINT AS n_shingles, min(r) AS component_id
+        FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id""",
     "op10_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
