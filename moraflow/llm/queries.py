@@ -2,7 +2,7 @@
 
 import os
 
-from moraflow.llm import bpe, line_dedup, pii, shingle_join, suffix_dedup, window_dedup
+from moraflow.llm import bpe, decontamination, line_dedup, metric_topk, pii, secrets, shingle_join, suffix_dedup, toxicity, window_dedup
 from moraflow.llm.texts import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -10,9 +10,13 @@ BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 QUERIES = {
     "op1_suffix_array_dedup": lambda spark, d: suffix_dedup.report(table(spark, d, "documents")),
+    "op2_toxicity": lambda spark, d: toxicity.report(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op3_metric_topk": lambda spark, d: metric_topk.report(table(spark, d, "embeddings")),
     "op4_window_dedup": lambda spark, d: window_dedup.report(table(spark, d, "documents")),
     "op5_shingle_join": lambda spark, d: shingle_join.report(table(spark, d, "documents")),
     "op6_byte_bpe": lambda spark, d: bpe.encode_and_decode(table(spark, d, "documents"), BYTE_BPE),
+    "op7_decontamination": lambda spark, d: decontamination.report(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op8_secret_linking": lambda spark, d: secrets.scan(table(spark, d, "documents")),
     "op9_pii_anchors": lambda spark, d: pii.find(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: line_dedup.report(table(spark, d, "documents")),
 }
@@ -22,6 +26,15 @@ ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrst
 WORDS = r"regexp_extract_all({}, '[^ \t\n\x0B\f\r]+')"
 
 ORACLES = {
+    "op3_metric_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        FROM pairs QUALIFY rank <= 5""",
     "op4_window_dedup": f"""
         WITH docs AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
         windows AS (
