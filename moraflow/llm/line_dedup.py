@@ -13,7 +13,7 @@ line if that doc_id is the largest; a null doc_id is smaller than any other; an
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moraflow.llm.texts import keyed, public_id
+from moraflow.llm.texts import keyed, keyed_rows, public_id
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
@@ -96,6 +96,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """The rows of `docs`, with all columns, their texts without the lines that go; `size_col`, if there, follows."""
+    bitmaps = keep_bitmaps(keyed(docs, id_col, text_col)).select(*KEY, "keep")
+    rows = keyed_rows(docs, id_col, text_col).drop("_text").join(bitmaps, KEY, "left")
+    text = F.when(F.col("keep").isNull(), F.col("_row")[text_col]).otherwise(kept_text(F.col("_row")[text_col], F.col("keep")))
+    new = rows.withColumn("_new", text)
+    size = F.when(F.col("keep").isNull(), F.col("_row")[size_col]).otherwise(F.length("_new")) if size_col in docs.columns else None
+    changed = {text_col: F.col("_new")} | ({size_col: size.cast(docs.schema[size_col].dataType)} if size is not None else {})
+    return new.select(*(changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
+
+
 def report(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs).select(
         public_id().alias("doc_id"), "n_lines", "n_dropped", F.sha2("_kept", 256).alias("kept_sha256")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from moraflow.llm.components import components
 from moraflow.llm.hashing import Units, mix, prefix_sums, range_hash
-from moraflow.llm.texts import keyed, pieces, public_id, written
+from moraflow.llm.texts import keyed, keyed_rows, pieces, public_id, written
 
 SHINGLE, PERCENT = 5, 75
 SLOTS, PARTS, SPREAD = 1 << 20, 16, 32
@@ -259,6 +259,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return every.join(final, CLASS, "left").select("_id", "n", F.coalesce("root", "_id").alias("component"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all columns, of the document with the smallest id of each component.
+
+    Rows that repeat a doc_id are one document and stay or go together; documents without words stay.
+    """
+    kept = written(groups(docs, id_col, text_col).filter("_id = component").select("_id").distinct(), "kept")
+    rows = keyed_rows(docs, id_col, text_col).select("_id", "_row").join(kept, "_id", "left_semi")
+    return rows.select("_row.*")
+
+
 def report(docs: DataFrame) -> DataFrame:
     found = groups(docs)
     return found.select(

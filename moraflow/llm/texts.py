@@ -29,6 +29,13 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(key.alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
 
 
+def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `keyed`, with the whole row as `_row`."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    return docs.select(key.alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"), F.struct("*").alias("_row"))
+
+
 def public_id(column: str | Column = "_id") -> Column:
     return F.nullif(F.col(column) if isinstance(column, str) else column, F.lit(NO_ID))
 

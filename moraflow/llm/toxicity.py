@@ -171,18 +171,40 @@ def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = fit(rows, labels, label_id, label_col)
     if model is None:
         return rows.select("_id", "_th", F.lit(0.0).alias("score"))
-    dicts, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, ordinary = map(compressor, dicts)
+        score = scorer(*model)
         for batch in pieces(batches):
-            m = np.array([measures(t, toxic, ordinary) for t in batch.column("_text").to_pylist()])
-            score = 1 / (1 + np.exp(-np.clip(m @ weights[:-1] + weights[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(score)], names=["_id", "_th", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(score(batch.column("_text")))], names=["_id", "_th", "score"])
 
     return rows.mapInArrow(run, "_id long, _th long, score double")
 
 
+def scorer(dicts: tuple[bytes, bytes], weights: np.ndarray):
+    """Function from a column of texts to their scores."""
+    toxic, ordinary = map(compressor, dicts)
+
+    def score(texts: pa.Array) -> np.ndarray:
+        m = np.array([measures(t or "", toxic, ordinary) for t in texts.to_pylist()])
+        return 1 / (1 + np.exp(-np.clip(m @ weights[:-1] + weights[-1], -30, 30)))
+
+    return score
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all columns, whose score is below THRESHOLD."""
+    model = fit(keyed(docs, id_col, text_col), labels)
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(*model)
+        for batch in pieces(batches, text_col):
+            yield batch.filter(pa.array(score(batch.column(text_col)) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = scores(docs, labels)
     doc_id = public_id()
