@@ -8,8 +8,9 @@ share more of them, so l is the one with the least estimated cost; a pair is jud
 
 Texts with equal sets are one class. Candidates are made in two rounds, never all pairs of a posting list: first each
 class against the hub of each list, the class whose tokens are the most frequent; then, among classes that no link
-connects yet, every pair of a list that passes the size, position and match-count bounds. A pair inside one component
-cannot change the components, so the result is that of all links.
+connects yet, every pair of a list that passes the size, position and match-count bounds and whose parity bitmaps
+(BITMAP words of 64 bits, one bit for each token's hash) differ in no more bits than similar sets may differ in tokens. A
+pair inside one component cannot change the components, so the result is that of all links.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; a text of fewer than five words has
 one shingle; rows that repeat a doc_id are one vertex; a null id is a vertex of its own, smaller than all others.
@@ -29,6 +30,7 @@ from moraflow.llm.texts import keyed, keyed_rows, pieces, public_id, written
 SHINGLE, PERCENT = 5, 75
 SLOTS, PARTS, SPREAD = 1 << 20, 16, 32
 MOST_MATCHES = 4
+BITMAP = 8
 CLASS = ["c", "n"]
 
 
@@ -130,7 +132,13 @@ def matches_wanted(excess: np.ndarray, n: int) -> int:
     return int(np.argmin(costs)) + 1
 
 
-PREFIX = "c long, n int, l int, central int, tokens array<long>"
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """BITMAP words; a bit is set if an odd number of tokens has it. Sets that differ in d tokens differ in d bits at most."""
+    bits = np.bincount((mix(tokens) % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+PREFIX = "c long, n int, l int, central int, bits array<long>, tokens array<long>"
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -151,22 +159,23 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 order = np.lexsort((tokens, seen))
                 l = matches_wanted(np.maximum(seen[order] - usual, 0), n)
                 central = int(np.log2(seen + 1).mean() * 1000)
-                out.append((set_hash(tokens), n, l, central, tokens[order[: n - needed(n) + l]].view(np.int64)))
+                out.append((set_hash(tokens), n, l, central, parity(tokens), tokens[order[: n - needed(n) + l]].view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(col, t.type) for col, t in zip(zip(*out), PREFIXES)], schema=PREFIXES)
 
     return docs.select("_text").mapInArrow(cut, PREFIX)
 
 
-PREFIXES = pa.schema([("c", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("central", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+PREFIXES = pa.schema([("c", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("central", pa.int32()), ("bits", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
 
 def postings(prefix: DataFrame) -> DataFrame:
-    """(token, c, n, l, central, pos) of each class, for tokens that more than one class has in its prefix."""
-    one = prefix.groupBy(*CLASS).agg(*(F.first(k).alias(k) for k in ("l", "central", "tokens")))
-    rows = one.select(*CLASS, "l", "central", F.posexplode("tokens").alias("pos", "token"))
+    """(token, pos, c, n, l, central, bits) of each class, for tokens that more than one class has in its prefix."""
+    one = prefix.groupBy(*CLASS).agg(*(F.first(k).alias(k) for k in ("l", "central", "bits", "tokens")))
+    one = written(one, "prefixes")
+    rows = one.select("c", F.posexplode("tokens").alias("pos", "token"))
     many = rows.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    return written(rows.join(many, "token").select("token", *CLASS, "l", "central", "pos"), "postings")
+    return written(rows.join(many, "token").join(one.drop("tokens"), "c"), "postings")
 
 
 def overlap_needed(n: Column, m: Column) -> Column:
@@ -185,6 +194,13 @@ def possible(x: str, y: str) -> Column:
     )
 
 
+def bits_allow(x: str, y: str) -> Column:
+    """Whether the bitmaps differ in no more bits than the sets may differ in tokens."""
+    differ = sum((F.bit_count(F.col(f"{x}.b{k}").bitwiseXOR(F.col(f"{y}.b{k}"))) for k in range(BITMAP)), F.lit(0))
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return differ <= n + m - 2 * overlap_needed(n, m)
+
+
 def candidates(pairs: DataFrame) -> DataFrame:
     """Distinct pairs of `x` and `y` structs that share as many prefix tokens as they must."""
     keys = [F.col(f"{s}.{k}").alias(f"{s}{k}") for s in "xy" for k in CLASS]
@@ -205,9 +221,9 @@ def rest_pairs(post: DataFrame, roots: DataFrame) -> DataFrame:
     known = post.join(roots, CLASS, "left").withColumn("root", F.coalesce("root", F.col("c")))
     ends = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     open_ = written(known.join(ends, "token"), "open-postings")
-    x = F.struct(*CLASS, "l", "pos", "root")
+    x = F.struct(*CLASS, "l", "pos", "root", *(F.col("bits")[k].alias(f"b{k}") for k in range(BITMAP)))
     left, right = open_.select("token", x.alias("x")), open_.select("token", x.alias("y"))
-    on = (F.col("p.token") == F.col("q.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root")) & possible("x", "y")
+    on = (F.col("p.token") == F.col("q.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root")) & possible("x", "y") & bits_allow("x", "y")
     return candidates(left.alias("p").join(right.alias("q"), on))
 
 
