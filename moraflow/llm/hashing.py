@@ -82,29 +82,38 @@ class Units:
         return np.searchsorted(self.bounds, places, side="right") - 1
 
 
-def cuts(units: Units, width: int, mark: int) -> dict[str, np.ndarray]:
-    """Runs of consecutive windows of `width` units that share their mark: the least hash of `mark` units inside.
+def cuts(units: Units, width: int, mark: int, marks: int = 1) -> dict[str, np.ndarray]:
+    """Runs of consecutive windows of `width` units that share their marks: the least hashes of `mark` units inside.
 
     Equal windows have equal marks at equal places, whatever stands around them, so only windows of runs with the same
-    `h` can be equal, and no two windows of one run are. A run has at most width - mark + 1 windows. Gives for each run
-    text (its number in the batch), start (unit within the text), n (windows), h and s, the hash of all its units.
+    `h` can be equal, and no two windows of one run are. A run has at most width - mark + 1 windows, and about half of
+    its share with each further mark, of which every one is the least by a hash of its own. Gives for each run text (its
+    number in the batch), start (unit within the text), n (windows), h (of the marks) and s, the hash of all its units.
     """
     places = units.inside(width)
     if not len(places):
         return {k: np.zeros(0, np.int64) for k in ("text", "start", "n", "h", "s")}
     sums = prefix_sums(units.values)
-    grams = mix(sliding(sums, mark))
     low = np.uint64((1 << int(INDEX_BITS)) - 1)
-    keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    chosen = (sliding_min(keys, width - mark + 1)[places] & low).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(chosen) != 0) | (np.diff(places) != 1)]))
+    breaks = np.diff(places) != 1
+    chosen = []
+    grams = mix(sliding(sums, mark))
+    index = np.arange(len(grams), dtype=np.uint64)
+    for k in range(marks):
+        keys = ((mix(grams + np.uint64(k)) if k else grams) & ~low) | index
+        chosen.append((sliding_min(keys, width - mark + 1)[places] & low).astype(np.int64))
+        breaks |= np.diff(chosen[-1]) != 0
+    first = np.flatnonzero(np.concatenate([[True], breaks]))
     n = np.diff(np.concatenate([first, [len(places)]]))
     begin = places[first]
     text = units.text_of(begin)
+    h = grams[chosen[0][first]]
+    for more in chosen[1:]:
+        h = mix(h + grams[more[first]])
     return {
         "text": text,
         "start": begin - units.bounds[text],
         "n": n,
-        "h": grams[chosen[first]].view(np.int64),
+        "h": h.view(np.int64),
         "s": mix(range_hash(sums, begin, begin + n + width - 1) + n.astype(np.uint64)).view(np.int64),
     }

@@ -6,8 +6,8 @@ array: the texts of its runs, laid one after the other in document order. In suf
 stay in order of position, so the previous smaller position of a suffix is its neighbour in a run of common prefixes of
 at least `length`; that gives an earlier match (longest previous factor), and the mirrored array gives later ones.
 
-A mark with more than HOT different runs is not gathered: the windows of its runs are hashed one by one and counted in
-Spark, which splits and combines them, and gives the same answer.
+A mark with more than window_runs.HOT different runs is not gathered in one task: its runs are cut finer, combined
+again, and the windows still unclear are counted by hash in Spark, which splits and combines them, with the same answer.
 
 keep_first=True removes later copies and keeps the first; keep_first=False removes every copy.
 
@@ -27,7 +27,6 @@ from moraflow.llm import window_runs as W
 from moraflow.llm.texts import keyed, pieces, public_id
 
 LENGTH, MARK = 200, 24
-HOT = 1000  # different runs of a mark that one task gathers, at most 376 bytes each
 GATHER = 1 << 20  # bytes of text in one suffix array, unless a single mark has more
 
 
@@ -112,7 +111,7 @@ def matched(rows: list[dict], length: int, keep_first: bool) -> pa.RecordBatch:
 
 
 def in_suffix_order(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """(_id, _th, start, n) of the windows that match within their mark; at most HOT rows have one mark."""
+    """(_id, _th, start, n) of the windows that match within their mark; at most window_runs.HOT rows have one mark."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -132,26 +131,9 @@ def in_suffix_order(texts: DataFrame, length: int, keep_first: bool) -> DataFram
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, mark: int = MARK, keep_first: bool = False) -> DataFrame:
     """(_id, _th, start, n): windows of `keyed` rows that also start elsewhere, or earlier."""
-    occurrences = W.repeated(docs, length, mark, words=False)
-    distinct = W.distinct_runs(occurrences)
-    here = F.struct(*W.KEY, "start")
-    if keep_first:
-        copies = occurrences.join(distinct.select("h", "s", "place"), ["h", "s"]).filter(here > F.col("place"))
-    else:
-        copies = occurrences.join(distinct.filter("copies > 1").select("h", "s"), ["h", "s"])
-    unclear = W.unclear(distinct)
-    close = W.fetched(docs, unclear.filter(F.col("contents") <= HOT))
-    wide = W.windows(W.fetched(docs, unclear.filter(F.col("contents") > HOT)), length, words=False)
-    at = F.struct(*W.KEY, "pos")
-    counted = wide.groupBy("h", "w").agg(F.min(at).alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    spread = wide.join(counted, ["h", "w"])
-    if keep_first:
-        spread = spread.filter(at > F.col("first"))
-    return (
-        copies.select(*W.KEY, "start", "n")
-        .unionByName(in_suffix_order(run_texts(close, length), length, keep_first))
-        .unionByName(spread.select(*W.KEY, F.col("pos").alias("start"), F.lit(1).alias("n")))
-    )
+    known, asked = W.repeats(docs, length, mark, words=False, keep_first=keep_first)
+    found = in_suffix_order(run_texts(W.fetched(docs, asked), length), length, keep_first)
+    return known.unionByName(found)
 
 
 def dedup(

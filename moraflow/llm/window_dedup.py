@@ -22,17 +22,8 @@ WIDTH, MARK = 20, 8
 
 def later_windows(docs: DataFrame, width: int = WIDTH, mark: int = MARK) -> DataFrame:
     """(_id, _th, start, n): windows of `keyed` rows whose words also start earlier."""
-    occurrences = W.repeated(docs, width, mark, words=True)
-    distinct = W.distinct_runs(occurrences)
-    here = F.struct(*W.KEY, "start")
-    copies = occurrences.join(distinct.select("h", "s", "place"), ["h", "s"]).filter(here > F.col("place"))
-    places = W.windows(W.fetched(docs, W.unclear(distinct)), width, words=True)
-    at = F.struct(*W.KEY, "pos")
-    first = places.groupBy("h", "w").agg(F.min(at).alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    single = places.join(first, ["h", "w"]).filter(at > F.col("first"))
-    return copies.select(*W.KEY, "start", "n").unionByName(
-        single.select(*W.KEY, F.col("pos").alias("start"), F.lit(1).alias("n"))
-    )
+    known, asked = W.repeats(docs, width, mark, words=True, keep_first=True)
+    return known.unionByName(W.counted_windows(docs, asked, width, words=True, keep_first=True))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, mark: int = MARK) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Windows travel as runs that share a content-chosen mark (`hashing.cuts`), one row for several windows. A mark that occurs
 once in the corpus cannot hold a repeated window, so its run goes no further. Equal runs are combined; only runs whose
-mark also stands in a different run are looked at window by window. Every step is a combined aggregation or a join of
+mark also stands in a different run are looked at closely: up to HOT runs of a mark by the caller; those of marks with
+more are cut again, by MARKS marks at once, and combined again, so that of a passage with other text around each copy
+only a few windows at the edges remain, and these are counted one by one. Both ways are exact. Every step is a combined aggregation or a join of
 raw rows with one row for each key, which adaptive execution can split, so no group meets in one task.
 """
 
@@ -17,6 +19,8 @@ from moraflow.llm.hashing import Units, cuts, mix, prefix_sums, sliding
 from moraflow.llm.texts import pieces, written
 
 KEY = ["_id", "_th"]
+MARKS = 8
+HOT = 1000  # different runs of a mark that may meet in one task
 RUN = "h long, s long, _id long, _th long, start int, n int"
 
 
@@ -67,6 +71,71 @@ def fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return docs.join(lists, KEY)
 
 
+def finer(with_lists: DataFrame, width: int, mark: int, words: bool) -> DataFrame:
+    """The listed runs, cut by MARKS marks: (h, s, _id, _th, start, n)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            runs = []
+            for row, (text, asked) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("asked").to_pylist())):
+                units = text.encode().split() if words else text.encode()
+                for r in asked:
+                    part = units[r["start"] : r["start"] + r["n"] + width - 1]
+                    runs.append((row, r["start"], b" ".join(part) if words else part))
+                    if len(runs) >= 2048:
+                        yield _finer(batch, runs, width, mark, words)
+                        runs = []
+            if runs:
+                yield _finer(batch, runs, width, mark, words)
+
+    return with_lists.mapInArrow(cut, RUN)
+
+
+def _finer(batch: pa.RecordBatch, runs: list[tuple], width: int, mark: int, words: bool) -> pa.RecordBatch:
+    found = cuts(Units([r[2] for r in runs], words), width, mark, MARKS)
+    row, begin = np.array([r[0] for r in runs])[found["text"]], np.array([r[1] for r in runs])[found["text"]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(found["h"]), pa.array(found["s"]), batch.column("_id").take(pa.array(row)), batch.column("_th").take(pa.array(row)),
+            pa.array((begin + found["start"]).astype(np.int32)), pa.array(found["n"].astype(np.int32)),
+        ],
+        names=["h", "s", *KEY, "start", "n"],
+    )
+
+
+def copies_of(occurrences: DataFrame, distinct: DataFrame, keep_first: bool) -> DataFrame:
+    """(_id, _th, start, n) of the runs whose content also stands elsewhere, or earlier."""
+    twice = distinct.filter("copies > 1")
+    if keep_first:
+        found = occurrences.join(twice.select("h", "s", "place"), ["h", "s"]).filter(F.struct(*KEY, "start") > F.col("place"))
+    else:
+        found = occurrences.join(twice.select("h", "s"), ["h", "s"])
+    return found.select(*KEY, "start", "n")
+
+
+def repeats(docs: DataFrame, width: int, mark: int, words: bool, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+    """Ranges of windows (_id, _th, start, n) known to repeat, and the runs left to the caller, at most HOT of a mark."""
+    occurrences = repeated(docs, width, mark, words)
+    distinct = distinct_runs(occurrences)
+    asked = unclear(distinct)
+    fine = finer(fetched(docs, asked.filter(F.col("contents") > HOT)), width, mark, words)
+    fine_distinct = distinct_runs(fine)
+    known = copies_of(occurrences, distinct, keep_first).unionByName(copies_of(fine, fine_distinct, keep_first))
+    edges = counted_windows(docs, unclear(fine_distinct), width, words, keep_first)
+    return known.unionByName(edges), asked.filter(F.col("contents") <= HOT)
+
+
+def counted_windows(docs: DataFrame, asked: DataFrame, width: int, words: bool, keep_first: bool) -> DataFrame:
+    """(_id, _th, start, n): windows of the asked runs whose hash is counted more than once."""
+    places = windows(fetched(docs, asked), width, words)
+    at = F.struct(*KEY, "pos")
+    first = places.groupBy("h", "w").agg(F.min(at).alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    found = places.join(first, ["h", "w"])
+    if keep_first:
+        found = found.filter(at > F.col("first"))
+    return found.select(*KEY, F.col("pos").alias("start"), F.lit(1).alias("n"))
+
+
 def windows(with_lists: DataFrame, width: int, words: bool) -> DataFrame:
     """(h, w, copies, _id, _th, pos) of every window of the listed runs; w is the Rabin-Karp hash of the window."""
 
