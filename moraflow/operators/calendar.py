@@ -136,7 +136,7 @@ def add_business_day_columns(df: DataFrame, day: str, calendar: DataFrame) -> Da
         "dia_semana",
         F.date_format("fecha", "EEEE").alias("nombre_dia_semana"),
     )
-    return df.join(columns.hint("broadcast"), F.to_date(day) == F.col("_fecha"), "left").drop("_fecha")
+    return df.join(columns, F.to_date(day) == F.col("_fecha"), "left").drop("_fecha")
 
 
 def comparison_info(calendar: DataFrame) -> DataFrame:

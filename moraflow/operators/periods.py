@@ -68,7 +68,7 @@ def outside_period_count(interactions: DataFrame, accounts: DataFrame) -> DataFr
 
 def clients_without_assignment(interactions: DataFrame, asignacion: DataFrame) -> DataFrame:
     """Interacted clients that no assignment row names."""
-    return interactions.select("cod_luna").distinct().join(asignacion, "cod_luna", "left_anti")
+    return interactions.select("cod_luna").distinct().join(asignacion.select("cod_luna").distinct(), "cod_luna", "left_anti")
 
 
 def first_of_day(harmonised: DataFrame) -> DataFrame:

@@ -96,10 +96,18 @@ def build_detailed(
     }
 
 
-def write_detailed(outputs: dict[str, DataFrame], folder: str, first: date, last: date) -> dict[str, int]:
-    """Replace the days of the periods in each detailed table."""
+def run_label(month: date, state: str) -> str:
+    return f"{month:%Y-%m}-{state}"
+
+
+def write_detailed(outputs: dict[str, DataFrame], folder: str, first: date, last: date, run: str) -> dict[str, int]:
+    """Replace the days of a run's periods in each detailed table.
+
+    Periods of different months and states overlap in days, so each run has a partition `corrida` of its own:
+    `run_label` of a month and state, or the period's file in isolated runs. Rows of other runs are never touched.
+    """
     return {
-        name: sinks.replace_range(df, name, f"{folder}/{name}", first, last) for name, df in outputs.items()
+        name: sinks.replace_range(df, name, f"{folder}/{name}/corrida={run}", first, last) for name, df in outputs.items()
     }
 
 

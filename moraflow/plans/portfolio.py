@@ -55,7 +55,7 @@ def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = F
     )
     days = calendar.select(
         F.col("fecha").alias("_fecha"), F.col("dia_habil_del_mes"), F.col("es_dia_habil")
-    ).hint("broadcast")
+    )
     total, clients = F.col("total_interacciones"), F.col("clientes_unicos_contactados")
     promises, amount = F.col("cantidad_compromisos"), F.col("monto_total_comprometido")
     return totals.join(days, F.col("FECHA_SERVICIO") == F.col("_fecha"), "left").select(
@@ -96,7 +96,7 @@ def comparisons(aggregated: DataFrame, calendar: DataFrame) -> DataFrame:
         "total_dias_habiles_mes_anterior",
         "progreso_mes_actual",
     )
-    return aggregated.join(extra.hint("broadcast"), F.col("FECHA_SERVICIO") == F.col("fecha_actual"))
+    return aggregated.join(extra, F.col("FECHA_SERVICIO") == F.col("fecha_actual"))
 
 
 def first_contacts(grouped: DataFrame, calendar: DataFrame, run_at: datetime, dedup: bool = False) -> DataFrame:
@@ -104,7 +104,7 @@ def first_contacts(grouped: DataFrame, calendar: DataFrame, run_at: datetime, de
 
     One row per interaction and assignment row, ties included; `dedup` keeps distinct rows.
     """
-    days = calendar.select(F.col("fecha").alias("_fecha"), "dia_habil_del_mes").hint("broadcast")
+    days = calendar.select(F.col("fecha").alias("_fecha"), "dia_habil_del_mes")
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("q_primera_cliente")))
     rows = grouped.where("q_primera_cliente > 0").join(days, F.col("FECHA_SERVICIO") == F.col("_fecha"), "left")
     if not dedup:

@@ -64,7 +64,7 @@ def executive_summary(kpis: DataFrame, business_days: DataFrame) -> DataFrame:
     """KPIs with their objective status and business-day position."""
     days = business_days.select(
         F.col("FECHA").alias("_fecha"), "DIA_HABIL_DEL_MES", "FECHA_MISMO_DIA_HABIL_MES_ANTERIOR"
-    ).hint("broadcast")
+    )
     return kpis.join(days, F.col("FECHA_CALCULO") == F.col("_fecha"), "left").select(
         "FECHA_CALCULO", "CARTERA", "SERVICIO", "CANAL", "UNIVERSO_CUENTAS", "UNIVERSO_MONTO", "CUENTAS_CONTACTADAS",
         "TASA_CONTACTABILIDAD", "MONTO_COMPROMETIDO", "MONTO_RECUPERADO", "TASA_RECUPERACION",
@@ -76,7 +76,7 @@ def executive_summary(kpis: DataFrame, business_days: DataFrame) -> DataFrame:
 
 def operating_detail(daily: DataFrame, business_days: DataFrame) -> DataFrame:
     """Daily management with productivity and business-day number."""
-    days = business_days.select(F.col("FECHA").alias("_fecha"), "DIA_HABIL_DEL_MES").hint("broadcast")
+    days = business_days.select(F.col("FECHA").alias("_fecha"), "DIA_HABIL_DEL_MES")
     return daily.join(days, F.col("FECHA_SERVICIO") == F.col("_fecha"), "left").select(
         "FECHA_SERVICIO", "CARTERA", "CANAL", "OPERADOR_FINAL", "GRUPO_RESPUESTA", "Q_INTERACCIONES_TOTAL",
         "Q_CONTACTOS_EFECTIVOS", "Q_CLIENTES_UNICOS_CONTACTADOS", "EFECTIVIDAD_CONTACTO", "Q_PROMESAS_DE_PAGO",

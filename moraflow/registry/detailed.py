@@ -215,7 +215,7 @@ def k3(t):
     span = t.span_of("orders", "o_orderdate")
     flags = cal.business_calendar(span).select(F.col("fecha").alias("_fecha"), "es_feriado", "es_dia_habil")
     saturdays = cal.business_flag(F.col("_fecha"), F.col("es_feriado"), include_saturdays=True)
-    rows = t.raw("orders").join(flags.hint("broadcast"), F.to_date("o_orderdate") == F.col("_fecha"))
+    rows = t.raw("orders").join(flags, F.to_date("o_orderdate") == F.col("_fecha"))
     return rows.select("o_orderkey", "es_dia_habil", saturdays.alias("con_sabados"))
 
 

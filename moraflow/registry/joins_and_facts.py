@@ -47,7 +47,7 @@ def c3(t):
 SELECT event_id, user_id FROM events WHERE user_id IN {OPEN_CLIENTS}
 """)
 def c4(t):
-    ids = open_clients(t).withColumnRenamed("cod_luna", "user_id")
+    ids = open_clients(t).select(F.col("cod_luna").alias("user_id")).distinct()
     return t.raw("events").select("event_id", "user_id").join(ids, "user_id", "left_semi")
 
 

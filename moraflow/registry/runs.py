@@ -123,3 +123,22 @@ def a15_detailed(t):
     return outputs["agregada"].groupBy("CARTERA", "CANAL", "FECHA_SERVICIO").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("total_interacciones").alias("interacciones")
     )
+
+
+@query("a15_rerun_periods", agregada_sql() + """
+SELECT CARTERA, CANAL, FECHA_SERVICIO, COUNT(*) AS filas, CAST(SUM(total_interacciones) AS BIGINT) AS interacciones
+FROM agregada GROUP BY 1, 2, 3""")
+def a15_rerun(t):
+    """Closed periods written, then the open ones, whose days overlap, then the closed ones again; all rows stay."""
+    folder = shared_folder(t.spark, "detailed")
+    for state in ("finalizado", "abierto", "finalizado"):
+        outputs = month_run.build_detailed(
+            t.spark, sources(t), WINDOW.first, state, datetime(2024, 1, 31), date(2024, 2, 29)
+        )
+        month_run.write_detailed(
+            {"agregada": outputs["agregada"]}, folder, WINDOW.first, date(2024, 2, 29), month_run.run_label(WINDOW.first, state)
+        )
+    stored = t.spark.read.parquet(f"{folder}/agregada")
+    return stored.groupBy("CARTERA", "CANAL", "FECHA_SERVICIO").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("total_interacciones").alias("interacciones")
+    )

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Exact decimal sums fail on overflow instead of turning into null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A key that holds a large share of the rows is split at run time, also where an aggregation follows the join.

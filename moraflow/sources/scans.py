@@ -34,7 +34,7 @@ def interactions_of_clients(gestiones: DataFrame, clients: DataFrame, first: dat
         .withColumn("cod_luna", rules.safe_long(F.col("document")))
         .where(F.col("cod_luna").isNotNull())
         .drop("document")
-        .join(clients.select("cod_luna"), "cod_luna", "left_semi")
+        .join(clients.select("cod_luna").distinct(), "cod_luna", "left_semi")
     )
 
 
@@ -54,7 +54,7 @@ def debt_of_dates(tran_deuda: DataFrame, days: DataFrame, year: Column) -> DataF
 
 def payments_of_documents(pagos: DataFrame, documents: DataFrame) -> DataFrame:
     """Payments of the documents present in the debt rows."""
-    return pagos.join(documents.select("nro_documento"), "nro_documento", "left_semi")
+    return pagos.join(documents.select("nro_documento").distinct(), "nro_documento", "left_semi")
 
 
 def dated_debt(tran_deuda: DataFrame) -> DataFrame:

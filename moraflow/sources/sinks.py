@@ -81,7 +81,7 @@ def backup(spark: SparkSession, table: str, path: str, stamp: str) -> str:
     """Copy of a table next to it, named by a timestamp."""
     target = f"{path.rstrip('/')}_backup_{stamp}"
     day, _ = fv.TABLE_LAYOUT[table]
-    spark.read.parquet(path).write.mode("errorifexists").partitionBy(day).parquet(target)
+    _arranged(spark.read.parquet(path), table).write.mode("errorifexists").partitionBy(day).parquet(target)
     return target
 
 

@@ -9,7 +9,6 @@ from moraflow.functions import rules
 from moraflow.operators import harmonise
 from moraflow.plans import facts
 from moraflow.schemas import OUTPUTS, conform
-from moraflow.session import shared_folder
 
 
 def days_of(interactions: DataFrame) -> DataFrame:
@@ -34,22 +33,25 @@ def rebuild_days(days: DataFrame, bot: DataFrame, human: DataFrame, lookups: dic
 
 def process_new_files(spark: SparkSession, human_folder: str, human_schema: T.StructType, bot: DataFrame,
                       lookups: dict, universe: DataFrame, window: facts.RunWindow, path: str,
-                      checkpoint: str | None = None, first_valid_day=fv.BOT_FIRST_VALID_DAY):
+                      checkpoint: str, first_valid_day=fv.BOT_FIRST_VALID_DAY):
     """Process the human interaction files that arrived since the last call, then stop.
 
-    Progress is kept in `checkpoint`, by default a new folder on the cluster's shared storage.
+    Progress is kept in `checkpoint`, a folder on the cluster's shared storage. A file with rows outside the window fails
+    its batch, which then stays unprocessed: a later call with a wider window takes it up.
     """
     stream = spark.readStream.schema(human_schema).parquet(human_folder)
-    stream = stream.where(rules.within_days(F.col("date"), window.first, window.last))
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
+        outside = batch.where(~rules.within_days(F.col("date"), window.first, window.last))
+        if not outside.isEmpty():
+            raise ValueError(f"interactions outside {window.first} to {window.last}: widen the window of the run")
         # The batch only says which days changed; their interactions are read from the whole folder.
         stored = batch.sparkSession.read.schema(human_schema).parquet(human_folder)
         rebuild_days(days_of(batch), bot, stored, lookups, universe, window, path, first_valid_day)
 
     query = (
         stream.writeStream.foreachBatch(rebuild)
-        .option("checkpointLocation", checkpoint or shared_folder(spark, "daily-management"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -147,6 +147,28 @@ def test_incremental_files_equal_one_batch(spark, tables, fact, tmp_path):
     assert result.exceptAll(fact).isEmpty() and fact.exceptAll(result).isEmpty()
 
 
+def test_stream_loses_no_row_outside_its_window(spark, tables, tmp_path):
+    """A file that reaches beyond the window fails its batch and is taken up by a call with a wider window."""
+    landing, path, progress = (str(tmp_path / n) for n in ("landing", "fact", "progress"))
+    human = tables.gestiones_humano()
+    human.coalesce(1).write.parquet(landing)
+    lookups = dict(
+        homolog_bot=tables.homolog_bot(), homolog_humano=tables.homolog_humano(), homolog_usuarios=tables.homolog_usuarios()
+    )
+    short = facts.RunWindow(WINDOW.first, date(2024, 1, 10), WINDOW.as_of)
+
+    def call(window):
+        incremental.process_new_files(
+            spark, landing, human.schema, tables.gestiones_bot(), lookups, tables.universe, window, path, progress,
+            first_valid_day=WINDOW.first,
+        )
+
+    with pytest.raises(Exception, match="widen the window"):
+        call(short)
+    call(WINDOW)
+    assert stored(spark, path).select("FECHA_SERVICIO").distinct().count() > 10
+
+
 def test_interactions_are_conserved(tables, fact):
     """The fact counts each interaction once per account its client holds that day."""
     day = F.to_date("fecha_gestion")
