@@ -27,6 +27,7 @@ from moraflow.llm import window_runs as W
 from moraflow.llm.texts import keyed, pieces, public_id
 
 LENGTH, MARK = 200, 24
+LEVELS = (8, 24)  # marks of the finer cuts
 GATHER = 1 << 20  # bytes of text in one suffix array, unless a single mark has more
 
 
@@ -131,7 +132,7 @@ def in_suffix_order(texts: DataFrame, length: int, keep_first: bool) -> DataFram
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, mark: int = MARK, keep_first: bool = False) -> DataFrame:
     """(_id, _th, start, n): windows of `keyed` rows that also start elsewhere, or earlier."""
-    known, asked = W.repeats(docs, length, mark, words=False, keep_first=keep_first)
+    known, asked = W.repeats(docs, length, mark, words=False, keep_first=keep_first, levels=LEVELS)
     found = in_suffix_order(run_texts(W.fetched(docs, asked), length), length, keep_first)
     return known.unionByName(found)
 

@@ -18,11 +18,12 @@ from moraflow.llm import window_runs as W
 from moraflow.llm.texts import keyed, pieces, public_id
 
 WIDTH, MARK = 20, 8
+LEVELS = (8,)  # marks of the finer cuts
 
 
 def later_windows(docs: DataFrame, width: int = WIDTH, mark: int = MARK) -> DataFrame:
     """(_id, _th, start, n): windows of `keyed` rows whose words also start earlier."""
-    known, asked = W.repeats(docs, width, mark, words=True, keep_first=True)
+    known, asked = W.repeats(docs, width, mark, words=True, keep_first=True, levels=LEVELS)
     return known.unionByName(W.counted_windows(docs, asked, width, words=True, keep_first=True))
 
 

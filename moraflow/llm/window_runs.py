@@ -3,8 +3,9 @@
 Windows travel as runs that share a content-chosen mark (`hashing.cuts`), one row for several windows. A mark that occurs
 once in the corpus cannot hold a repeated window, so its run goes no further. Equal runs are combined; only runs whose
 mark also stands in a different run are looked at closely: up to HOT runs of a mark by the caller; those of marks with
-more are cut again, by MARKS marks at once, and combined again, so that of a passage with other text around each copy
-only a few windows at the edges remain, and these are counted one by one. Both ways are exact. Every step is a combined aggregation or a join of
+more are cut again, by several marks at once, and combined again, level by level with more marks. A window that holds a
+change which no other copy has shares all of many marks with no other, so of a passage with changes in each copy few
+windows remain, and these are counted one by one. Both ways are exact. Every step is a combined aggregation or a join of
 raw rows with one row for each key, which adaptive execution can split, so no group meets in one task.
 """
 
@@ -19,7 +20,6 @@ from moraflow.llm.hashing import Units, cuts, mix, prefix_sums, sliding
 from moraflow.llm.texts import pieces, written
 
 KEY = ["_id", "_th"]
-MARKS = 8
 HOT = 1000  # different runs of a mark that may meet in one task
 RUN = "h long, s long, _id long, _th long, start int, n int"
 
@@ -71,8 +71,8 @@ def fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return docs.join(lists, KEY)
 
 
-def finer(with_lists: DataFrame, width: int, mark: int, words: bool) -> DataFrame:
-    """The listed runs, cut by MARKS marks: (h, s, _id, _th, start, n)."""
+def finer(with_lists: DataFrame, width: int, mark: int, words: bool, marks: int) -> DataFrame:
+    """The listed runs, cut by `marks` marks: (h, s, _id, _th, start, n)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -83,16 +83,16 @@ def finer(with_lists: DataFrame, width: int, mark: int, words: bool) -> DataFram
                     part = units[r["start"] : r["start"] + r["n"] + width - 1]
                     runs.append((row, r["start"], b" ".join(part) if words else part))
                     if len(runs) >= 2048:
-                        yield _finer(batch, runs, width, mark, words)
+                        yield _finer(batch, runs, width, mark, words, marks)
                         runs = []
             if runs:
-                yield _finer(batch, runs, width, mark, words)
+                yield _finer(batch, runs, width, mark, words, marks)
 
     return with_lists.mapInArrow(cut, RUN)
 
 
-def _finer(batch: pa.RecordBatch, runs: list[tuple], width: int, mark: int, words: bool) -> pa.RecordBatch:
-    found = cuts(Units([r[2] for r in runs], words), width, mark, MARKS)
+def _finer(batch: pa.RecordBatch, runs: list[tuple], width: int, mark: int, words: bool, marks: int) -> pa.RecordBatch:
+    found = cuts(Units([r[2] for r in runs], words), width, mark, marks)
     row, begin = np.array([r[0] for r in runs])[found["text"]], np.array([r[1] for r in runs])[found["text"]]
     return pa.RecordBatch.from_arrays(
         [
@@ -113,15 +113,22 @@ def copies_of(occurrences: DataFrame, distinct: DataFrame, keep_first: bool) ->
     return found.select(*KEY, "start", "n")
 
 
-def repeats(docs: DataFrame, width: int, mark: int, words: bool, keep_first: bool) -> tuple[DataFrame, DataFrame]:
-    """Ranges of windows (_id, _th, start, n) known to repeat, and the runs left to the caller, at most HOT of a mark."""
+def repeats(
+    docs: DataFrame, width: int, mark: int, words: bool, keep_first: bool, levels: tuple[int, ...]
+) -> tuple[DataFrame, DataFrame]:
+    """Ranges of windows (_id, _th, start, n) known to repeat, and the runs left to the caller, at most HOT of a mark.
+
+    `levels` holds the number of marks of each finer cut of the runs of hot marks.
+    """
     occurrences = repeated(docs, width, mark, words)
     distinct = distinct_runs(occurrences)
     asked = unclear(distinct)
-    fine = finer(fetched(docs, asked.filter(F.col("contents") > HOT)), width, mark, words)
-    fine_distinct = distinct_runs(fine)
-    known = copies_of(occurrences, distinct, keep_first).unionByName(copies_of(fine, fine_distinct, keep_first))
-    edges = counted_windows(docs, unclear(fine_distinct), width, words, keep_first)
+    known, left = copies_of(occurrences, distinct, keep_first), asked.filter(F.col("contents") > HOT)
+    for marks in levels:
+        fine = written(finer(fetched(docs, left), width, mark, words, marks), "finer-runs")
+        distinct = distinct_runs(fine)
+        known, left = known.unionByName(copies_of(fine, distinct, keep_first)), unclear(distinct)
+    edges = counted_windows(docs, left, width, words, keep_first)
     return known.unionByName(edges), asked.filter(F.col("contents") <= HOT)
 
 
