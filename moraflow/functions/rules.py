@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moraflow.functions import fixed_values as fv
 
-RATIO_PLACES = 6
+MEAN_PLACES = 9
 
 
 # ---- casts, filters, defaults ----------------------------------------------------------------
@@ -29,8 +29,11 @@ def or_default(c: Column, value) -> Column:
 # ---- exact sums and ratios -------------------------------------------------------------------
 
 def cents(c: Column) -> Column:
-    """Amount in whole cents, as a long: exact sums in any order, at the cost of primitive arithmetic."""
-    return F.floor(c * 100 + 0.5)
+    """Amount in whole cents, as a long: exact sums in any order, at the cost of primitive arithmetic.
+
+    NaN and infinite amounts fail the cast (ANSI mode). Amounts are in whole cents by contract; others are rounded.
+    """
+    return F.rint(c * 100).cast("bigint")
 
 
 def from_cents(total: Column) -> Column:
@@ -43,8 +46,8 @@ def money_sum(c: Column) -> Column:
 
 
 def ratio(num: Column, den: Column) -> Column:
-    """num/den, null on a zero denominator."""
-    return F.round(F.try_divide(num.cast("double"), den.cast("double")), RATIO_PLACES)
+    """num/den at full precision, null on a zero denominator."""
+    return F.try_divide(num.cast("double"), den.cast("double"))
 
 
 def ratio_or_zero(num: Column, den: Column) -> Column:
@@ -53,13 +56,13 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
 
 
 def millionths(c: Column) -> Column:
-    """Ratio in whole millionths (the places it is rounded to), as a long."""
+    """Rate with at most six places, in whole millionths, as a long."""
     return F.floor(c * 1_000_000 + 0.5)
 
 
 def mean_of(c: Column) -> Column:
-    """Order-independent mean of a rounded ratio column."""
-    return ratio(F.sum(millionths(c)).cast("double") / 1_000_000, F.count(c))
+    """Order-independent mean of a ratio column: summed exactly with 15 places, the mean given with MEAN_PLACES."""
+    return F.round(ratio(F.sum(c.cast("decimal(28,15)")), F.count(c)), MEAN_PLACES)
 
 
 # ---- assignment rules ------------------------------------------------------------------------

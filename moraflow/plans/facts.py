@@ -262,9 +262,9 @@ def _side(fact: DataFrame, keys: dict, in_window, measures: dict, prefix: str) -
     outside = F.coalesce(~in_window, F.lit(True))
     aggregates = [F.count(F.lit(1)).alias(f"{prefix}_n"), F.count_if(outside).alias(f"{prefix}_n_fuera")]
     for name, value in measures.items():
-        exact = F.coalesce(value, F.lit(0)).cast("decimal(24,6)")
+        exact = F.coalesce(value, F.lit(0)).cast("decimal(26,12)")
         aggregates.append(F.sum(exact).alias(f"{prefix}_{name}"))
-        out = F.when(outside, exact).otherwise(F.lit(0).cast("decimal(24,6)"))
+        out = F.when(outside, exact).otherwise(F.lit(0).cast("decimal(26,12)"))
         aggregates.append(F.sum(out).alias(f"{prefix}_{name}_fuera"))
     return fact.groupBy(*JOIN_KEYS, *[v.alias(k) for k, v in keys.items()]).agg(*aggregates)
 
@@ -330,10 +330,10 @@ def executive_kpis_row_product(
         return F.coalesce(F.col(f"{side}_n{suffix}"), F.lit(1)).cast("decimal(12,0)")
 
     def product(side, name, suffix, missing):
-        total = F.coalesce(F.col(f"{side}_{name}{suffix}"), F.lit(missing).cast("decimal(24,6)"))
+        total = F.coalesce(F.col(f"{side}_{name}{suffix}"), F.lit(missing).cast("decimal(26,12)"))
         for other in "ugr":
             if other != side:
-                total = (total * count(other, suffix)).cast("decimal(38,6)")
+                total = (total * count(other, suffix)).cast("decimal(38,12)")
         return total
 
     def kept(side, name, missing=0):
@@ -349,11 +349,11 @@ def executive_kpis_row_product(
         F.coalesce("canal_g", "canal_r", F.lit(fv.CHANNEL_TOTAL)).alias("CANAL"),
         kept("u", "cuentas").cast("bigint").alias("UNIVERSO_CUENTAS"),
         kept("u", "monto").cast("double").alias("UNIVERSO_MONTO"),
-        rules.ratio(kept("u", "objetivo", fv.OBJECTIVE_DEFAULT), F.col("n")).alias("OBJ_RECUPERO_PROMEDIO"),
+        F.round(rules.ratio(kept("u", "objetivo", fv.OBJECTIVE_DEFAULT), F.col("n")), rules.MEAN_PLACES).alias("OBJ_RECUPERO_PROMEDIO"),
         kept("g", "contactadas").cast("bigint").alias("CUENTAS_CONTACTADAS"),
-        rules.ratio(kept("g", "efectividad"), F.col("n")).alias("EFECTIVIDAD_PROMEDIO"),
+        F.round(rules.ratio(kept("g", "efectividad"), F.col("n")), rules.MEAN_PLACES).alias("EFECTIVIDAD_PROMEDIO"),
         kept("g", "comprometido").cast("double").alias("MONTO_COMPROMETIDO"),
-        rules.ratio(kept("g", "tasa"), F.col("n")).alias("TASA_COMPROMISO_PROMEDIO"),
+        F.round(rules.ratio(kept("g", "tasa"), F.col("n")), rules.MEAN_PLACES).alias("TASA_COMPROMISO_PROMEDIO"),
         kept("r", "recuperado").cast("double").alias("MONTO_RECUPERADO"),
     )
     return _kpi_columns(rows, window.first)

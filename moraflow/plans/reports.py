@@ -134,7 +134,7 @@ def due_trends(analysis: DataFrame) -> DataFrame:
         {
             "VAR_CUENTAS_PCT": change("TOTAL_CUENTAS", "CUENTAS_PERIODO_ANTERIOR"),
             "VAR_RECUPERADO_PCT": change("TOTAL_RECUPERADO", "RECUPERADO_PERIODO_ANTERIOR"),
-            "VAR_TASA_RECUPERACION_PP": F.round(points, 6),
+            "VAR_TASA_RECUPERACION_PP": points,
         }
     )
 

@@ -259,7 +259,7 @@ deuda AS (
 fact_universo AS (
   SELECT FECHA_ASIGNACION, CARTERA, SERVICIO, SEGMENTO_GESTION, VENCIMIENTO, CATEGORIA_VENCIMIENTO,
          ID_ARCHIVO_ASIGNACION, ZONA_GEOGRAFICA, TIPO_FRACCIONAMIENTO,
-         ROUND(AVG(CAST(OBJ_RECUPERO AS DOUBLE)), 6) AS OBJ_RECUPERO,
+         CAST(SUM(CAST(OBJ_RECUPERO AS DECIMAL(24, 6))) AS DOUBLE) / COUNT(OBJ_RECUPERO) AS OBJ_RECUPERO,
          COUNT(DISTINCT cuenta) AS Q_CUENTAS_ASIGNADAS, COUNT(DISTINCT cliente) AS Q_CLIENTES_ASIGNADOS,
          CAST(SUM(COALESCE(CAST(monto_exigible AS DECIMAL(18, 2)), 0)) AS DOUBLE) AS MONTO_EXIGIBLE_ASIGNADO,
          AVG(DIAS_GESTION) AS DIAS_GESTION_DISPONIBLES
@@ -284,9 +284,9 @@ fact_diaria AS (
          COUNT(CASE WHEN es_primera THEN 1 END) AS Q_CLIENTES_UNICOS_CONTACTADOS,
          COUNT(CASE WHEN es_primera THEN 1 END) AS Q_CLIENTES_PRIMERA_VEZ_DIA,
          COUNT(DISTINCT CASE WHEN es_compromiso = 1 THEN cliente END) AS Q_CLIENTES_CON_PROMESA,
-         ROUND(SUM(es_contacto_efectivo)::DOUBLE / COUNT(*), 6) AS EFECTIVIDAD_CONTACTO,
-         ROUND(SUM(es_compromiso)::DOUBLE / COUNT(*), 6) AS TASA_COMPROMISO,
-         ROUND(CAST(SUM(CAST(monto_compromiso AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(SUM(es_compromiso)::DOUBLE, 0), 6)
+         SUM(es_contacto_efectivo)::DOUBLE / COUNT(*) AS EFECTIVIDAD_CONTACTO,
+         SUM(es_compromiso)::DOUBLE / COUNT(*) AS TASA_COMPROMISO,
+         CAST(SUM(CAST(monto_compromiso AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(SUM(es_compromiso)::DOUBLE, 0)
               AS MONTO_PROMEDIO_COMPROMISO
   FROM en_contexto GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12),
 pagos_id AS (
@@ -323,15 +323,15 @@ fact_recupero AS (
 kpi_u AS (
   SELECT CARTERA, SERVICIO, VENCIMIENTO, CATEGORIA_VENCIMIENTO, CAST(SUM(Q_CUENTAS_ASIGNADAS) AS BIGINT) AS cuentas,
          CAST(SUM(CAST(MONTO_EXIGIBLE_ASIGNADO AS DECIMAL(18, 2))) AS DOUBLE) AS monto,
-         ROUND(CAST(SUM(CAST(OBJ_RECUPERO AS DECIMAL(24, 6))) AS DOUBLE) / COUNT(OBJ_RECUPERO), 6) AS objetivo
+         ROUND(CAST(SUM(CAST(OBJ_RECUPERO AS DECIMAL(28, 15))) AS DOUBLE) / COUNT(OBJ_RECUPERO), 9) AS objetivo
   FROM fact_universo GROUP BY 1, 2, 3, 4),
 kpi_g AS (
   SELECT CARTERA, SERVICIO, VENCIMIENTO, CATEGORIA_VENCIMIENTO, CANAL,
          CAST(SUM(Q_CLIENTES_UNICOS_CONTACTADOS) AS BIGINT) AS contactadas,
-         ROUND(CAST(SUM(CAST(EFECTIVIDAD_CONTACTO AS DECIMAL(24, 6))) AS DOUBLE) / COUNT(EFECTIVIDAD_CONTACTO), 6)
+         ROUND(CAST(SUM(CAST(EFECTIVIDAD_CONTACTO AS DECIMAL(28, 15))) AS DOUBLE) / COUNT(EFECTIVIDAD_CONTACTO), 9)
               AS efectividad,
          CAST(SUM(CAST(MONTO_COMPROMETIDO AS DECIMAL(18, 2))) AS DOUBLE) AS comprometido,
-         ROUND(CAST(SUM(CAST(TASA_COMPROMISO AS DECIMAL(24, 6))) AS DOUBLE) / COUNT(TASA_COMPROMISO), 6) AS tasa
+         ROUND(CAST(SUM(CAST(TASA_COMPROMISO AS DECIMAL(28, 15))) AS DOUBLE) / COUNT(TASA_COMPROMISO), 9) AS tasa
   FROM fact_diaria GROUP BY 1, 2, 3, 4, 5),
 kpi_r AS (
   SELECT CARTERA, SERVICIO, VENCIMIENTO, CATEGORIA_VENCIMIENTO, CANAL_ATRIBUIDO AS CANAL,
@@ -347,9 +347,9 @@ kpi_rows AS (
   FULL JOIN kpi_u USING (CARTERA, SERVICIO, VENCIMIENTO, CATEGORIA_VENCIMIENTO)),
 fact_kpis AS (
   SELECT DATE '2024-01-01' AS FECHA_CALCULO, *,
-         ROUND(CUENTAS_CONTACTADAS::DOUBLE / NULLIF(UNIVERSO_CUENTAS, 0)::DOUBLE, 6) AS TASA_CONTACTABILIDAD,
-         ROUND(MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0), 6) AS TASA_RECUPERACION,
-         ROUND(MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) / NULLIF(OBJ_RECUPERO_PROMEDIO, 0), 6)
+         CUENTAS_CONTACTADAS::DOUBLE / NULLIF(UNIVERSO_CUENTAS, 0)::DOUBLE AS TASA_CONTACTABILIDAD,
+         MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) AS TASA_RECUPERACION,
+         MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) / NULLIF(OBJ_RECUPERO_PROMEDIO, 0)
               AS CUMPLIMIENTO_OBJETIVO
   FROM kpi_rows WHERE UNIVERSO_CUENTAS > 0 OR CUENTAS_CONTACTADAS > 0 OR MONTO_RECUPERADO > 0),
 base_p AS (

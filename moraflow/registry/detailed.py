@@ -25,7 +25,7 @@ def agregada_sql(compat: bool = False) -> str:
     grupos AS (
       SELECT archivo, {keys}, COUNT(*) AS total_interacciones,
         CAST(COALESCE(SUM(CAST(duracion AS DECIMAL(18, 6))), 0) AS DOUBLE) AS duracion_total_minutos,
-        ROUND(CAST(SUM(CAST(duracion AS DECIMAL(18, 6))) AS DOUBLE) / COUNT(duracion), 6) AS duracion_promedio_minutos,
+        CAST(SUM(CAST(duracion AS DECIMAL(18, 6))) AS DOUBLE) / COUNT(duracion) AS duracion_promedio_minutos,
         COUNT(DISTINCT cliente) AS clientes_unicos_contactados,
         COUNT(CASE WHEN efectivo = 1 THEN 1 END) AS contactos_efectivos,
         COUNT(CASE WHEN management LIKE '%Compromiso%' OR management LIKE '%COMPROMISO%' THEN 1 END)
@@ -41,13 +41,13 @@ def agregada_sql(compat: bool = False) -> str:
         duracion_promedio_minutos, clientes_unicos_contactados, contactos_efectivos, compromisos_declarados,
         primera_vez_contactados, primera_vez_efectivos, primera_vez_cartera_canal, monto_total_comprometido,
         cantidad_compromisos, dia_habil_del_mes, es_dia_habil,
-        ROUND(contactos_efectivos::DOUBLE / total_interacciones, 6) AS efectividad_canal,
-        ROUND(cantidad_compromisos::DOUBLE / total_interacciones, 6) AS tasa_compromiso,
-        COALESCE(ROUND(primera_vez_contactados::DOUBLE / NULLIF(clientes_unicos_contactados, 0), 6), 0)
+        contactos_efectivos::DOUBLE / total_interacciones AS efectividad_canal,
+        cantidad_compromisos::DOUBLE / total_interacciones AS tasa_compromiso,
+        COALESCE(primera_vez_contactados::DOUBLE / NULLIF(clientes_unicos_contactados, 0), 0)
           AS ratio_primera_vez,
-        COALESCE(ROUND(total_interacciones::DOUBLE / NULLIF(clientes_unicos_contactados, 0), 6), 0)
+        COALESCE(total_interacciones::DOUBLE / NULLIF(clientes_unicos_contactados, 0), 0)
           AS interacciones_por_cliente,
-        COALESCE(ROUND(monto_total_comprometido / NULLIF(cantidad_compromisos, 0)::DOUBLE, 6), 0)
+        COALESCE(monto_total_comprometido / NULLIF(cantidad_compromisos, 0)::DOUBLE, 0)
           AS monto_promedio_compromiso,
         strftime(FECHA_SERVICIO, '%d/%m/%Y') AS FECHA_FORMATO
       FROM grupos LEFT JOIN cal ON fecha = FECHA_SERVICIO)"""
@@ -89,7 +89,7 @@ def d3(t):
 
 BASE_PORTFOLIO = """
 SELECT CARTERA, FECHA_ASIGNACION, SERVICIO, total_cod_lunas, cuentas_unicas, clientes_unicos, monto_exigible,
-       monto_cancelado, CASE WHEN monto_exigible > 0 THEN ROUND(monto_cancelado / monto_exigible, 6) ELSE 0 END
+       monto_cancelado, CASE WHEN monto_exigible > 0 THEN monto_cancelado / monto_exigible ELSE 0 END
        AS ratio_recuperacion
 FROM (SELECT CARTERA, FECHA_ASIGNACION, SERVICIO, COUNT(*) AS total_cod_lunas, COUNT(DISTINCT cuenta) AS cuentas_unicas,
              COUNT(DISTINCT cliente) AS clientes_unicos, CAST(COALESCE(SUM(deuda), 0) AS DOUBLE) AS monto_exigible,

@@ -253,13 +253,13 @@ def d9(t):
          COALESCE(g.CANAL, r.CANAL_ATRIBUIDO, 'TOTAL') AS CANAL,
          CAST(SUM(COALESCE(u.Q_CUENTAS_ASIGNADAS, 0)) AS BIGINT) AS UNIVERSO_CUENTAS,
          CAST(SUM(COALESCE(CAST(u.MONTO_EXIGIBLE_ASIGNADO AS DECIMAL(18, 2)), 0)) AS DOUBLE) AS UNIVERSO_MONTO,
-         ROUND(CAST(SUM(CAST(COALESCE(u.OBJ_RECUPERO, 0.20) AS DECIMAL(18, 6))) AS DOUBLE) / COUNT(*), 6)
+         ROUND(CAST(SUM(CAST(COALESCE(u.OBJ_RECUPERO, 0.20) AS DECIMAL(28, 12))) AS DOUBLE) / COUNT(*), 9)
               AS OBJ_RECUPERO_PROMEDIO,
          CAST(SUM(COALESCE(g.Q_CLIENTES_UNICOS_CONTACTADOS, 0)) AS BIGINT) AS CUENTAS_CONTACTADAS,
-         ROUND(CAST(SUM(CAST(COALESCE(g.EFECTIVIDAD_CONTACTO, 0) AS DECIMAL(18, 6))) AS DOUBLE) / COUNT(*), 6)
+         ROUND(CAST(SUM(CAST(COALESCE(g.EFECTIVIDAD_CONTACTO, 0) AS DECIMAL(28, 12))) AS DOUBLE) / COUNT(*), 9)
               AS EFECTIVIDAD_PROMEDIO,
          CAST(SUM(COALESCE(CAST(g.MONTO_COMPROMETIDO AS DECIMAL(18, 2)), 0)) AS DOUBLE) AS MONTO_COMPROMETIDO,
-         ROUND(CAST(SUM(CAST(COALESCE(g.TASA_COMPROMISO, 0) AS DECIMAL(18, 6))) AS DOUBLE) / COUNT(*), 6)
+         ROUND(CAST(SUM(CAST(COALESCE(g.TASA_COMPROMISO, 0) AS DECIMAL(28, 12))) AS DOUBLE) / COUNT(*), 9)
               AS TASA_COMPROMISO_PROMEDIO,
          CAST(SUM(COALESCE(CAST(r.MONTO_PAGADO AS DECIMAL(18, 2)), 0)) AS DOUBLE) AS MONTO_RECUPERADO
   FROM fact_universo u
@@ -273,9 +273,9 @@ def d9(t):
      OR r.FECHA_PAGO BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
   GROUP BY 1, 2, 3, 4, 5)
 SELECT DATE '2024-01-05' AS FECHA_CALCULO, *,
-       ROUND(CUENTAS_CONTACTADAS::DOUBLE / NULLIF(UNIVERSO_CUENTAS, 0)::DOUBLE, 6) AS TASA_CONTACTABILIDAD,
-       ROUND(MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0), 6) AS TASA_RECUPERACION,
-       ROUND(MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) / NULLIF(OBJ_RECUPERO_PROMEDIO, 0), 6)
+       CUENTAS_CONTACTADAS::DOUBLE / NULLIF(UNIVERSO_CUENTAS, 0)::DOUBLE AS TASA_CONTACTABILIDAD,
+       MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) AS TASA_RECUPERACION,
+       MONTO_RECUPERADO / NULLIF(UNIVERSO_MONTO, 0) / NULLIF(OBJ_RECUPERO_PROMEDIO, 0)
             AS CUMPLIMIENTO_OBJETIVO
 FROM filas WHERE UNIVERSO_CUENTAS > 0 OR CUENTAS_CONTACTADAS > 0 OR MONTO_RECUPERADO > 0
 """)

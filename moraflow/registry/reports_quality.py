@@ -13,7 +13,7 @@ from moraflow.sources.driver_tables import DAY_0
 
 
 def mean_sql(c: str) -> str:
-    return f"ROUND(CAST(SUM(CAST({c} AS DECIMAL(24, 6))) AS DOUBLE) / COUNT({c}), 6)"
+    return f"ROUND(CAST(SUM(CAST({c} AS DECIMAL(28, 15))) AS DOUBLE) / COUNT({c}), 9)"
 
 
 def money_sql(c: str) -> str:
@@ -45,11 +45,11 @@ SELECT FECHA_CALCULO, CATEGORIA_VENCIMIENTO, VENCIMIENTO, CARTERA, SERVICIO, CAN
   {total_sql('UNIVERSO_CUENTAS')} AS TOTAL_CUENTAS, {money_sql('UNIVERSO_MONTO')} AS TOTAL_MONTO,
   {mean_sql('OBJ_RECUPERO_PROMEDIO')} AS OBJETIVO_PROMEDIO, {total_sql('CUENTAS_CONTACTADAS')} AS TOTAL_CONTACTADAS,
   {money_sql('MONTO_COMPROMETIDO')} AS TOTAL_COMPROMETIDO, {money_sql('MONTO_RECUPERADO')} AS TOTAL_RECUPERADO,
-  ROUND(SUM(CUENTAS_CONTACTADAS)::DOUBLE / NULLIF(SUM(UNIVERSO_CUENTAS), 0)::DOUBLE, 6)
+  SUM(CUENTAS_CONTACTADAS)::DOUBLE / NULLIF(SUM(UNIVERSO_CUENTAS), 0)::DOUBLE
     AS TASA_CONTACTABILIDAD_CONSOLIDADA,
-  ROUND({money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('UNIVERSO_MONTO')}, 0), 6) AS TASA_RECUPERACION_CONSOLIDADA,
-  ROUND({money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('UNIVERSO_MONTO')}, 0)
-        / {mean_sql('OBJ_RECUPERO_PROMEDIO')}, 6) AS CUMPLIMIENTO_OBJETIVO_CONSOLIDADO
+  {money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('UNIVERSO_MONTO')}, 0) AS TASA_RECUPERACION_CONSOLIDADA,
+  {money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('UNIVERSO_MONTO')}, 0)
+        / {mean_sql('OBJ_RECUPERO_PROMEDIO')} AS CUMPLIMIENTO_OBJETIVO_CONSOLIDADO
 FROM fact_kpis GROUP BY 1, 2, 3, 4, 5, 6""")
 def d13(t):
     return reports.due_analysis(t.kpis)
@@ -267,8 +267,8 @@ def m5(t):
 @query("m6_detail", STORED_EVENTS + """
 SELECT FECHA_SERVICIO, CARTERA, CANAL, OPERADOR_FINAL, GRUPO_RESPUESTA, Q_INTERACCIONES_TOTAL, Q_CONTACTOS_EFECTIVOS,
        Q_CLIENTES_UNICOS_CONTACTADOS, EFECTIVIDAD_CONTACTO, Q_PROMESAS_DE_PAGO, MONTO_COMPROMETIDO, TASA_COMPROMISO,
-       ROUND(Q_INTERACCIONES_TOTAL::DOUBLE / 8, 6) AS INTERACCIONES_POR_HORA,
-       ROUND(MONTO_COMPROMETIDO / NULLIF(Q_PROMESAS_DE_PAGO, 0)::DOUBLE, 6) AS MONTO_PROMEDIO_POR_PROMESA,
+       Q_INTERACCIONES_TOTAL::DOUBLE / 8 AS INTERACCIONES_POR_HORA,
+       MONTO_COMPROMETIDO / NULLIF(Q_PROMESAS_DE_PAGO, 0)::DOUBLE AS MONTO_PROMEDIO_POR_PROMESA,
        DIA_HABIL_DEL_MES
 FROM fact_diaria LEFT JOIN guardado ON FECHA = FECHA_SERVICIO""")
 def m6(t):
@@ -276,7 +276,7 @@ def m6(t):
 
 
 @query("b28_productivity", """
-SELECT FECHA_SERVICIO, OPERADOR_FINAL, CARTERA, ROUND(Q_INTERACCIONES_TOTAL::DOUBLE / 8, 6) AS INTERACCIONES_POR_HORA
+SELECT FECHA_SERVICIO, OPERADOR_FINAL, CARTERA, Q_INTERACCIONES_TOTAL::DOUBLE / 8 AS INTERACCIONES_POR_HORA
 FROM fact_diaria""")
 def b28(t):
     return reports.operating_detail(t.daily, _stored_days(t)).select(
@@ -310,7 +310,7 @@ def _half_sql(name: str, first: str, last: str) -> str:
 
 @query("e9_trends", f""", {_half_sql('h1', '2024-01-01', '2024-01-07')}, {_half_sql('h2', '2024-01-08', '2024-01-31')},
 analisis AS (
-  SELECT *, ROUND(r / NULLIF(m, 0), 6) AS t FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2)
+  SELECT *, r / NULLIF(m, 0) AS t FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2)
   WHERE c > 0 OR k > 0 OR r > 0),
 previos AS (
   SELECT *, LAG(c) OVER w AS pc, LAG(r) OVER w AS pr, LAG(t) OVER w AS pt FROM analisis
@@ -318,8 +318,8 @@ previos AS (
 SELECT FECHA_CALCULO, CATEGORIA_VENCIMIENTO, VENCIMIENTO, CARTERA, SERVICIO, CANAL, c AS TOTAL_CUENTAS,
        r AS TOTAL_RECUPERADO, t AS TASA_RECUPERACION_CONSOLIDADA, pc AS CUENTAS_PERIODO_ANTERIOR,
        pr AS RECUPERADO_PERIODO_ANTERIOR, pt AS TASA_RECUPERACION_ANTERIOR,
-       ROUND((c - pc)::DOUBLE / NULLIF(pc, 0)::DOUBLE, 6) AS VAR_CUENTAS_PCT,
-       ROUND((r - pr) / NULLIF(pr, 0), 6) AS VAR_RECUPERADO_PCT, ROUND(t - pt, 6) AS VAR_TASA_RECUPERACION_PP
+       (c - pc)::DOUBLE / NULLIF(pc, 0)::DOUBLE AS VAR_CUENTAS_PCT,
+       (r - pr) / NULLIF(pr, 0) AS VAR_RECUPERADO_PCT, t - pt AS VAR_TASA_RECUPERACION_PP
 FROM previos""")
 def e9(t):
     return reports.due_trends(reports.due_analysis(_two_periods(t))).select(
@@ -330,10 +330,10 @@ def e9(t):
 
 
 @query("m8_ratios", f"""
-SELECT ROUND(SUM(Q_CONTACTOS_EFECTIVOS)::DOUBLE / SUM(Q_INTERACCIONES_TOTAL)::DOUBLE, 6) AS EFECTIVIDAD_GLOBAL,
-       (SELECT ROUND({money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('MONTO_COMPROMETIDO')}, 0), 6) FROM fact_kpis)
+SELECT SUM(Q_CONTACTOS_EFECTIVOS)::DOUBLE / SUM(Q_INTERACCIONES_TOTAL)::DOUBLE AS EFECTIVIDAD_GLOBAL,
+       (SELECT {money_sql('MONTO_RECUPERADO')} / NULLIF({money_sql('MONTO_COMPROMETIDO')}, 0) FROM fact_kpis)
          AS ROI_GESTION,
-       ROUND(SUM(Q_INTERACCIONES_TOTAL)::DOUBLE / COUNT(DISTINCT OPERADOR_FINAL), 6) AS PRODUCTIVIDAD_OPERADOR
+       SUM(Q_INTERACCIONES_TOTAL)::DOUBLE / COUNT(DISTINCT OPERADOR_FINAL) AS PRODUCTIVIDAD_OPERADOR
 FROM fact_diaria""")
 def m8(t):
     return reports.global_ratios(t.daily, t.kpis)
@@ -357,7 +357,7 @@ def m9(t):
 @query("m9_weekday", f"""
 SELECT isodow(FECHA_SERVICIO)::INTEGER AS dia_semana, CANAL, {total_sql('Q_INTERACCIONES_TOTAL')} AS TOTAL_INTERACCIONES,
        {total_sql('Q_CONTACTOS_EFECTIVOS')} AS CONTACTOS_EFECTIVOS,
-       ROUND(SUM(Q_CONTACTOS_EFECTIVOS)::DOUBLE / SUM(Q_INTERACCIONES_TOTAL)::DOUBLE, 6) AS EFECTIVIDAD
+       SUM(Q_CONTACTOS_EFECTIVOS)::DOUBLE / SUM(Q_INTERACCIONES_TOTAL)::DOUBLE AS EFECTIVIDAD
 FROM fact_diaria GROUP BY 1, 2""")
 def m9_weekday(t):
     return reports.by_weekday(t.daily)

@@ -363,8 +363,8 @@ def b26(t):
 
 
 @query("b27_safe_ratio", """
-SELECT l_orderkey, l_linenumber, l_partkey, ROUND(l_extendedprice / NULLIF(l_discount, 0), 6) AS razon,
-       COALESCE(ROUND(l_tax / NULLIF(l_discount, 0), 6), 0) AS razon_o_cero FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / NULLIF(l_discount, 0) AS razon,
+       COALESCE(l_tax / NULLIF(l_discount, 0), 0) AS razon_o_cero FROM lineitem
 """)
 def b27(t):
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")

@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from moraflow.functions import dates, rules
@@ -110,9 +112,14 @@ def test_ratios_and_money(spark):
     schema = "a double, b double"
     assert values(spark, rows, schema, rules.ratio(F.col("a"), F.col("b"))) == [None, 0.25, -0.25, None]
     assert values(spark, rows, schema, rules.ratio_or_zero(F.col("a"), F.col("b"))) == [0.0, 0.25, 0.0, 0.0]
+    rare = spark.createDataFrame([(1, 3_000_000)], "a long, b long").select(rules.ratio(F.col("a"), F.col("b")).alias("r"))
+    assert rare.first()[0] == 1 / 3_000_000
+    assert rare.agg(rules.mean_of(F.col("r"))).first()[0] == 3.33e-07
     amounts = spark.createDataFrame([(0.1,), (0.2,), (None,), (1e9 + 0.01,)], "a double")
     assert amounts.agg(rules.money_sum(F.col("a"))).first()[0] == 1000000000.31
     assert amounts.where("a > 1e12").agg(rules.money_sum(F.col("a"))).first()[0] == 0.0
+    with pytest.raises(ArithmeticException):
+        spark.createDataFrame([(float("nan"),)], "a double").agg(rules.money_sum(F.col("a"))).collect()
 
 
 def test_effective_and_commitment(spark):
