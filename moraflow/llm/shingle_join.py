@@ -169,13 +169,16 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 PREFIXES = pa.schema([("c", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("central", pa.int32()), ("bits", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
 
-def postings(prefix: DataFrame) -> DataFrame:
-    """(token, pos, c, n, l, central, bits) of each class, for tokens that more than one class has in its prefix."""
-    one = prefix.groupBy(*CLASS).agg(*(F.first(k).alias(k) for k in ("l", "central", "bits", "tokens")))
-    one = written(one, "prefixes")
+def class_prefixes(prefix: DataFrame) -> DataFrame:
+    """One row of `prefixes` for each class."""
+    return written(prefix.groupBy(*CLASS).agg(*(F.first(k).alias(k) for k in ("l", "central", "bits", "tokens"))), "prefixes")
+
+
+def postings(one: DataFrame) -> DataFrame:
+    """(token, pos, c, n, l, central) of each class, for tokens that more than one class has in its prefix."""
     rows = one.select("c", F.posexplode("tokens").alias("pos", "token"))
     many = rows.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    return written(rows.join(many, "token").join(one.drop("tokens"), "c"), "postings")
+    return written(rows.join(many, "token").join(one.drop("tokens", "bits"), "c"), "postings")
 
 
 def overlap_needed(n: Column, m: Column) -> Column:
@@ -216,11 +219,14 @@ def hub_pairs(post: DataFrame) -> DataFrame:
     return both.select(*[F.col(f"{s}.{k}").alias(f"{s}{k}") for s in "xy" for k in CLASS]).distinct()
 
 
-def rest_pairs(post: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates between classes that no link connects yet; `roots` has (c, n, root) of connected classes."""
+def rest_pairs(post: DataFrame, roots: DataFrame, one: DataFrame) -> DataFrame:
+    """Candidates between classes that no link connects yet; `roots` has (c, n, root) of connected classes.
+
+    Only the postings of lists that hold several roots are given the bitmaps of their class.
+    """
     known = post.join(roots, CLASS, "left").withColumn("root", F.coalesce("root", F.col("c")))
     ends = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
-    open_ = written(known.join(ends, "token"), "open-postings")
+    open_ = written(known.join(ends, "token").join(one.select("c", "bits"), "c"), "open-postings")
     x = F.struct(*CLASS, "l", "pos", "root", *(F.col("bits")[k].alias(f"b{k}") for k in range(BITMAP)))
     left, right = open_.select("token", x.alias("x")), open_.select("token", x.alias("y"))
     on = (F.col("p.token") == F.col("q.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root")) & possible("x", "y") & bits_allow("x", "y")
@@ -267,10 +273,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     first = classes.select(*CLASS, F.col("place._id").alias("u"))
     several = every.filter("n > 0").groupBy("_id").agg(F.min("_th").alias("a"), F.max("_th").alias("b")).filter("a <> b").select("_id")
     repeated = every.filter("n > 0").join(several, "_id").join(first, CLASS).select("u", F.col("_id").alias("v"))
-    post = postings(prefixes(rows, sketch(scan)))
+    one = class_prefixes(prefixes(rows, sketch(scan)))
+    post = postings(one)
     near = written(links(rows, classes, hub_pairs(post)), "links")
     roots = rooted(near, first, repeated)
-    rest = links(rows, classes, rest_pairs(post, roots))
+    rest = links(rows, classes, rest_pairs(post, roots, one))
     final = rooted(near.unionByName(rest), first, repeated)
     return every.join(final, CLASS, "left").select("_id", "n", F.coalesce("root", "_id").alias("component"))
 
