@@ -6,9 +6,10 @@ norm, each query a zero, and then d(q, x)^2 = |q|^2 + M^2 - 2 q.x, so the neares
 Vectors go to their nearest pivot of a bounded sample (PIVOTS rows, the least by hash of the id), regions of more than
 TREE_ROWS rows are dealt over several trees, and each tree is built once, in pages of PAGE entries with a routing object,
 a covering radius and the distance of every entry to its parent. Queries travel in blocks of BLOCK rows, one row for each
-block and tree, so neither a hot vector nor a large query set makes a large group. A search opens the node with the
-least bound first; the triangle inequality with the stored parent distances skips entries before any distance is
-computed, and the k-th best product over the pivots bounds it from the start. Products are computed on integers.
+block and tree, so neither a hot vector nor a large query set makes a large group. The queries of a block search together,
+best first: the node with the least bound of any of them is opened next, for those that still need it; the triangle
+inequality with the stored parent distances skips entries before any distance is computed, and the k-th best product over
+the pivots bounds it from the start. Products are exact: integers, in doubles where these hold them exactly.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, neither do null ids;
 vectors of different lengths never meet; ties go to the smaller id; rows that repeat an id are one candidate each, and
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from moraflow.llm.texts import written
 
-PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 64, 4096, 64, 16, 256
+PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 64, 4096, 64, 16, 1024
 SLACK = 1e-7  # relative, for rounding in distances; products themselves are exact
 
 
@@ -73,44 +74,63 @@ def build(points: np.ndarray, rows: np.ndarray, centre: np.ndarray) -> dict:
     }
 
 
-def search(tree: dict, points: np.ndarray, ids: np.ndarray, query: np.ndarray, query_id: int, k: int, most: float, floor: float) -> list[tuple[int, int]]:
-    """The k best (product, id) of the tree for one query; `floor` is a product that k others are known to reach."""
-    size = float((query.astype(np.float64) ** 2).sum())
-    lifted_query = np.append(query.astype(np.float64), 0.0)
-    reach = lambda product: np.sqrt(max(size + most - 2 * product, 0.0)) * (1 + SLACK) + SLACK
-    limit = reach(floor) if floor > -np.inf else np.inf
-    best: list[tuple[int, int]] = []  # (product, -id), the least first
-    root = tree["centre"]
-    at_root = float(np.sqrt(((lifted_query - root) ** 2).sum()))
-    waiting = [(max(at_root - tree["radius"], 0.0), 0, at_root, tree["page"])]
+def search(tree: dict, points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, most: float, floor: np.ndarray) -> list[tuple[int, int, int]]:
+    """The k best (query id, id, product) of the tree for each query; `floor` holds products that k others are known to reach.
+
+    The queries of a block walk the tree together: a page waits under the least bound of the queries that may need it,
+    each of which leaves as soon as its own bound exceeds its own limit.
+    """
+    if most < 2**53:  # products of integers are exact in doubles then
+        queries, points = queries.astype(np.float64), points.astype(np.float64)
+    else:
+        points = points.astype(np.int64)
+    size = (queries.astype(np.float64) ** 2).sum(axis=1)
+    moved = np.concatenate([queries.astype(np.float64), np.zeros((len(queries), 1))], axis=1)
+    reach = lambda product, size: np.sqrt(np.maximum(size + most - 2 * product, 0.0)) * (1 + SLACK) + SLACK
+    floor = floor.astype(np.float64)
+    limit = np.where(floor > -np.inf, reach(np.maximum(floor, -most), size), np.inf)
+    best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # (product, -id), the least first
+    at_root = distances(moved, tree["centre"])
+    bounds = np.maximum(at_root - tree["radius"], 0.0)
+    waiting = [(bounds.min(), 0, np.arange(len(queries)), bounds, at_root, tree["page"])]
     count = 1
     while waiting:
-        bound, _, at, page = heapq.heappop(waiting)
-        if bound > limit:
+        low, _, who, bounds, at, page = heapq.heappop(waiting)
+        if low > limit.max():
             break
-        apart = np.abs(at - page["apart"])
+        stay = bounds <= limit[who]
+        who, at = who[stay], at[stay]
+        if not len(who):
+            continue
+        apart = np.abs(at[:, None] - page["apart"])
         if page["leaf"]:
-            rows = page["rows"][apart <= limit]
-            products = points[rows] @ query
-            for product, i in zip(products.tolist(), ids[rows].tolist()):
-                if i == query_id or product < floor:
-                    continue
-                if len(best) < k:
-                    heapq.heappush(best, (product, -i))
-                elif (product, -i) > best[0]:
-                    heapq.heapreplace(best, (product, -i))
-            if len(best) == k:
-                limit = min(limit, reach(best[0][0]))
+            near = apart <= limit[who][:, None]
+            used = np.flatnonzero(near.any(axis=0))
+            rows = page["rows"][used]
+            products = queries[who] @ points[rows].T
+            fit = near[:, used] & (products >= floor[who][:, None]) & (ids[rows] != query_ids[who][:, None])
+            for j, r in zip(*np.nonzero(fit)):
+                held, new = best[who[j]], (int(products[j, r]), -int(ids[rows[r]]))
+                if len(held) < k:
+                    heapq.heappush(held, new)
+                elif new > held[0]:
+                    heapq.heapreplace(held, new)
+            for q in who[fit.any(axis=1)]:
+                if len(best[q]) == k and best[q][0][0] > floor[q]:
+                    floor[q] = best[q][0][0]
+                    limit[q] = min(limit[q], reach(floor[q], size[q]))
         else:
             radius = page["radius"]
-            open_ = np.flatnonzero(apart - radius <= limit)
-            away = distances(page["centres"][open_], lifted_query)
-            for j, d in zip(open_.tolist(), away.tolist()):
-                low = max(d - radius[j], 0.0)
-                if low <= limit:
-                    heapq.heappush(waiting, (low, count, d, page["pages"][j]))
+            maybe = apart - radius <= limit[who][:, None]
+            for j in np.flatnonzero(maybe.any(axis=0)):
+                some = who[maybe[:, j]]
+                away = distances(moved[some], page["centres"][j])
+                bounds = np.maximum(away - radius[j], 0.0)
+                go = bounds <= limit[some]
+                if go.any():
+                    heapq.heappush(waiting, (bounds[go].min(), count, some[go], bounds[go], away[go], page["pages"][j]))
                     count += 1
-    return [(p, -i) for p, i in best]
+    return [(int(q), -i, p) for q, held in zip(query_ids, best) for p, i in held]
 
 
 def trees(rows: DataFrame, pivots: dict[int, np.ndarray], most: float) -> DataFrame:
@@ -141,7 +161,7 @@ def trees(rows: DataFrame, pivots: dict[int, np.ndarray], most: float) -> DataFr
         centre = pivots[key[0].as_py()][key[1].as_py()]
         page = build(x, np.arange(len(x)), centre)
         tree = {"centre": centre, "radius": float(distances(x, centre).max()), "page": page}
-        data = pickle.dumps((tree, points, group.column("id").to_numpy()))
+        data = pickle.dumps((tree, points.astype(np.int32) if np.abs(points).max() < 2**31 else points, group.column("id").to_numpy()))
         return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "region": pa.array([key[1].as_py()], pa.int32()), "share": pa.array([key[2].as_py()], pa.int32()), "data": pa.array([data], pa.binary())})
 
     grown = dealt.select("dim", "region", "share", "id", "v").groupBy("dim", "region", "share").applyInArrow(grow, "dim int, region int, share int, data binary")
@@ -170,12 +190,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
                 tree, points, ids = pickle.loads(row.column("data")[0].as_py())
                 dim = row.column("dim")[0].as_py()
                 pivot_ids, pivot_vectors = known[dim]
-                found = []
-                for query_id, query in zip(row.column("ids")[0].as_py(), row.column("queries")[0].as_py()):
-                    q = np.array(query, np.int64)
-                    seen = np.sort((pivot_vectors @ q)[pivot_ids != query_id])
-                    floor = seen[-k] if len(seen) >= k else -np.inf
-                    found += [(query_id, i, p) for p, i in search(tree, points, ids, q, query_id, k, most, floor)]
+                query_ids = np.array(row.column("ids")[0].as_py(), np.int64)
+                queries = matrix(row.column("queries")[0].values)
+                seen = queries @ pivot_vectors.T
+                seen = np.where(pivot_ids == query_ids[:, None], -np.inf, seen.astype(np.float64))
+                floor = np.sort(seen, axis=1)[:, -k] if seen.shape[1] >= k else np.full(len(queries), -np.inf)
+                found = search(tree, points, ids, queries, query_ids, k, most, floor)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], []))], names=["query_id", "vec_id", "score"])
 
     asked = rows.filter(is_query(F.col("id"))).dropDuplicates(["id", "v"])
