@@ -2,7 +2,9 @@
 
 import os
 
-from moraflow.llm import bpe, decontamination, line_dedup, metric_topk, pii, secrets, shingle_join, suffix_dedup, toxicity, window_dedup
+from moraflow.llm import (
+    bpe, decontamination, line_dedup, merkle, metric_topk, pii, secrets, sharding, shingle_join, suffix_dedup, toxicity, vector_codes, window_dedup,
+)
 from moraflow.llm.texts import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -19,6 +21,9 @@ QUERIES = {
     "op8_secret_linking": lambda spark, d: secrets.scan(table(spark, d, "documents")),
     "op9_pii_anchors": lambda spark, d: pii.find(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: line_dedup.report(table(spark, d, "documents")),
+    "op11_feistel_shards": lambda spark, d: sharding.report(table(spark, d, "documents")),
+    "op12_vector_codes": lambda spark, d: vector_codes.report(table(spark, d, "embeddings")),
+    "op13_merkle_manifest": lambda spark, d: merkle.report(table(spark, d, "documents")),
 }
 
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -73,4 +78,37 @@ ORACLES = {
         SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keeper <> doc_id)::BIGINT AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
         FROM keys LEFT JOIN frequent USING (k) GROUP BY doc_id""",
+    "op12_vector_codes": """
+        WITH v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, label, p, x[p * (len(x) // 16) + 1 : (p + 1) * (len(x) // 16)] AS x FROM v, range(16) AS r(p)),
+        b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts QUALIFY e < 64),
+        a0 AS (
+            SELECT vec_id, parts.p, any_value(label) AS label, any_value(parts.x) AS x,
+                min((list_inner_product(parts.x, parts.x) - 2 * list_inner_product(parts.x, b.x) + list_inner_product(b.x, b.x))::BIGINT * 64 + e) AS de
+            FROM parts JOIN b0 b USING (p) GROUP BY vec_id, parts.p),
+        m0 AS (
+            SELECT p, e, list(floor(s / n) ORDER BY i) AS x FROM (
+                SELECT p, de % 64 AS e, i, sum(c) AS s, count(*) AS n
+                FROM (SELECT p, de, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a0) GROUP BY ALL) GROUP BY p, e),
+        b1 AS (SELECT p, e, coalesce(m0.x, b0.x) AS x FROM b0 LEFT JOIN m0 USING (p, e)),
+        a1 AS (
+            SELECT vec_id, parts.p, any_value(label) AS label, any_value(parts.x) AS x,
+                min((list_inner_product(parts.x, parts.x) - 2 * list_inner_product(parts.x, b.x) + list_inner_product(b.x, b.x))::BIGINT * 64 + e) AS de
+            FROM parts JOIN b1 b USING (p) GROUP BY vec_id, parts.p),
+        m1 AS (
+            SELECT p, e, list(floor(s / n) ORDER BY i) AS x FROM (
+                SELECT p, de % 64 AS e, i, sum(c) AS s, count(*) AS n
+                FROM (SELECT p, de, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a1) GROUP BY ALL) GROUP BY p, e),
+        b2 AS (SELECT p, e, coalesce(m1.x, b1.x) AS x FROM b1 LEFT JOIN m1 USING (p, e)),
+        a2 AS (
+            SELECT vec_id, parts.p, any_value(label) AS label, any_value(parts.x) AS x,
+                min((list_inner_product(parts.x, parts.x) - 2 * list_inner_product(parts.x, b.x) + list_inner_product(b.x, b.x))::BIGINT * 64 + e) AS de
+            FROM parts JOIN b2 b USING (p) GROUP BY vec_id, parts.p),
+        codes AS (
+            SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', de % 64), '' ORDER BY p) AS code, sum(de // 64)::BIGINT AS error
+            FROM a2 GROUP BY vec_id),
+        book AS (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS h FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM b2))
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256 FROM codes, book""",
 }
