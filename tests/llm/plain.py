@@ -1,10 +1,13 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def sha(data: bytes) -> str:
@@ -135,3 +138,64 @@ def top_products(rows, k=5):
             best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vecs if i != q and len(v) == len(w))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return out
+
+
+def product_codes(rows: list[tuple], parts: int = 16, entries: int = 64, rounds: int = 2) -> list[tuple]:
+    """(id, code, error, label_error, codebook digest) of (id, vector, label) rows, every distance computed."""
+    kept = [(i, [math.floor(256 * float(c)) for c in x], label) for i, x, label in rows if x and all(c is not None and math.isfinite(c) for c in x)]
+    if not kept:
+        return []
+    width = len(kept[0][1]) // parts
+    cuts = [[tuple(x[p * width : (p + 1) * width]) for p in range(parts)] for _, x, _ in kept]
+    first = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, kept[k][1]))[:entries]
+    book = [[cuts[k][p] for k in first] for p in range(parts)]
+    near = lambda x, p: min((sum((a - b) ** 2 for a, b in zip(x, y)), e) for e, y in enumerate(book[p]))
+    for _ in range(rounds):
+        members = {}
+        for cut in cuts:
+            for p, x in enumerate(cut):
+                members.setdefault((p, near(x, p)[1]), []).append(x)
+        for (p, e), held in members.items():
+            book[p][e] = tuple(sum(c) // len(held) for c in zip(*held))
+    digest = sha(",".join(str(c) for p in book for e in p for c in e).encode())
+    coded = [[near(x, p) for p, x in enumerate(cut)] for cut in cuts]
+    errors = [sum(d for d, _ in c) for c in coded]
+    by_label = {}
+    for (_, _, label), error in zip(kept, errors):
+        by_label[label] = by_label.get(label, 0) + error
+    return [(i, "".join(f"{e:02x}" for _, e in c), error, by_label[label], digest) for (i, _, label), c, error in zip(kept, coded, errors)]
+
+
+def _tree(nodes: list[str]) -> list[list[str]]:
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([sha("".join(levels[-1][k : k + 8]).encode()) for k in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """Rows of op13 for (doc_id, source, lang, n_chars, text), the tree built whole and each proof folded level by level."""
+    part = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    hashed = lambda row: sha("".join(map(part, row)).encode())
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    langs = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in langs:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, hashed(r)))
+        trees[g] = _tree([hashed(r) for r in groups[g]])
+    top = _tree([trees[g][-1][0] for g in langs])
+    out = []
+    for place, g in enumerate(langs):
+        for at, row in enumerate(groups[g]):
+            tampered = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0
+            node = hashed((*row[:4], row[4].translate(LOWER) if row[4] is not None else None)) if tampered else trees[g][0][at]
+            proof = ""
+            for tree, k in ((trees[g], at), (top, place)):
+                for level in tree[:-1]:
+                    start = k - k % 8
+                    before, after = "".join(level[start:k]), "".join(level[k + 1 : start + 8])
+                    proof, node, k = proof + before + after, sha((before + node + after).encode()), k // 8
+            out.append((row[0], trees[g][0][at], trees[g][-1][0], top[-1][0], sha(proof.encode()), node, node == top[-1][0]))
+    return out

@@ -164,7 +164,7 @@ def test_repeated_ids_are_one_vertex(repeated):
     assert len(roots) == 1
 
 
-@pytest.mark.parametrize("name", ["op3_metric_topk", "op4_window_dedup", "op5_shingle_join", "op10_line_dedup"])
+@pytest.mark.parametrize("name", ["op3_metric_topk", "op4_window_dedup", "op5_shingle_join", "op10_line_dedup", "op12_vector_codes"])
 def test_registered_queries_match_their_oracle(spark, sf_dir, name):
     assert difference(entry.queries()[name](spark, sf_dir), connect(sf_dir), entry.oracle_sql()[name]) is None
 
