@@ -70,7 +70,7 @@ def scanner():
                 if at >= quad_from:
                     if m := QUAD.match(text, at):
                         quad_from = m.end()
-                        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups()):
+                        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.groups()):
                             spans.append((at, 1, quad_from))
                     else:
                         quad_from = RUN.match(text, at).end()
