@@ -1,16 +1,17 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame and SQL functions only.
 
 Numbers, units behind them and names become typed placeholders that keep their value, so that "3 apples for Ann" and
-"7 apples for Bob" have one template. Every window of WIDTH tokens of a benchmark item is hashed; of a document only
-each STRIDE-th, since a shared passage of WIDTH + STRIDE - 1 tokens holds one of them whatever its offset. Hashes are
-joined, windows of a document and item on one diagonal are counted, and the values of their placeholders must map the
-item's values to the document's one to one: a re-parameterised question passes, an accidental mix of slots does not.
+"7 apples for Bob" have one template. Every window of WIDTH tokens of items and documents is hashed. Hashes are joined,
+windows of a document and item on one diagonal are counted, and the values of their placeholders must map the item's
+values to the document's one to one: a re-parameterised question passes, an accidental mix of slots does not.
 
 A pair is reported when its windows on a diagonal cover half of the item or ENOUGH tokens, whichever is less. The
-benchmark is broadcast only if its windows are counted to be at most BROADCAST_ROWS; otherwise the join shuffles.
+benchmark is broadcast only if its windows are counted to be at most BROADCAST_ROWS, and a document's placeholders are then
+looked up for the windows that met one; otherwise the join shuffles hashes with them.
 
 Defined cases: null or empty texts, and items or documents with fewer than WIDTH tokens, match nothing; items with the
-same text are reported each; rows that repeat id and text count once; null ids are reported as null.
+same text are reported each; rows that repeat id and text count once; null ids are reported as null; patterns hold no
+repeated group that could be given back, so texts and runs of any length need no deep stack.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,12 +19,12 @@ from pyspark.sql import functions as F
 
 from moraflow.llm.texts import keyed, keyed_rows, public_id, written
 
-WIDTH, STRIDE, ENOUGH, BROADCAST_ROWS = 6, 4, 24, 200_000
+WIDTH, ENOUGH, BROADCAST_ROWS = 6, 24, 200_000
 #: Units that may follow a number.
 UNITS = "mm|cm|m|km|mg|g|kg|t|ml|l|s|min|h|hours|minutes|seconds|days|miles|feet|inches|pounds|dollars|euros|percent"
-NUMBER = rf"([0-9]+(?:[.,][0-9]+)*)(?:\x20?({UNITS})\b)?"
+NUMBER = rf"([0-9]++(?:[.,][0-9]++)*+)(?:\x20?({UNITS})\b)?"
 NAME = r"(?<=[\p{Ll},;:]\x20)(\p{Lu}\p{L}+)"
-BREAK = r"(?:[^\p{L}\p{N}#.,]|[.,](?![0-9]))+"
+BREAK = r"(?:[^\p{L}\p{N}#.,]|[.,](?![0-9]))++"
 KEY = ["_id", "_th"]
 
 
@@ -35,25 +36,28 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(named, BREAK), lambda t: t != "")
 
 
-def templates(rows: DataFrame, stride: int) -> DataFrame:
-    """(_id, _th, n, pos, h, slots) of each `stride`-th window; slots are its placeholders in order, null if it has none."""
+def templates(rows: DataFrame) -> DataFrame:
+    """(_id, _th, n, w, pos, h) of each window; w holds all tokens of the row, null if none is a placeholder."""
     words = rows.select(*KEY, tokens(F.col("_text")).alias("w"))
     typed = F.transform("w", lambda t: F.when(t.startswith("#"), F.substring(t, 1, 2)).otherwise(t))
-    shaped = words.select(*KEY, F.size("w").alias("n"), typed.alias("t"), F.when(F.exists("w", lambda t: t.startswith("#")), F.col("w")).alias("w")).filter(F.col("n") >= WIDTH)
-    starts = F.sequence(F.lit(0), F.col("n") - WIDTH, F.lit(stride))
-    windows = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice("t", i + 1, WIDTH)).alias("h")))
-    out = shaped.select(*KEY, "n", "w", F.explode(windows).alias("x"))
-    slots = F.filter(F.slice("w", F.col("x.pos") + 1, WIDTH), lambda t: t.startswith("#"))
-    return out.select(*KEY, "n", "x.pos", "x.h", F.when(F.size(slots) > 0, slots).alias("slots"))
+    slotted = F.when(F.exists("w", lambda t: t.startswith("#")), F.col("w"))
+    shaped = words.select(*KEY, F.size("w").alias("n"), typed.alias("t"), slotted.alias("w")).filter(F.col("n") >= WIDTH)
+    starts = shaped.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - WIDTH)).alias("pos"))
+    return starts.select(*KEY, "n", "w", "pos", F.xxhash64(*(F.get("t", F.col("pos") + k) for k in range(WIDTH))).alias("h"))
+
+
+def with_slots(windows: DataFrame) -> DataFrame:
+    """`windows` with `slots`, their placeholders in order, null if they have none, in the place of `w`."""
+    slots = F.filter(F.slice("w", F.col("pos") + 1, WIDTH), lambda t: t.startswith("#"))
+    return windows.withColumn("slots", F.when(F.size(slots) > 0, slots)).drop("w")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(_id, _th, item, n_windows, n_slots) of documents that hold a benchmark item or a re-parameterised one."""
-    items = templates(keyed(benchmark, item_col, item_text), 1)
+    items = with_slots(templates(keyed(benchmark, item_col, item_text)))
     items = written(items.select(F.col("_id").alias("item"), F.col("_th").alias("ith"), F.col("n").alias("size"), F.col("pos").alias("at"), "h", F.col("slots").alias("theirs")), "templates")
-    if items.count() <= BROADCAST_ROWS:
-        items = F.broadcast(items)
-    met = templates(keyed(docs, id_col, text_col), STRIDE).drop("n").join(items, "h")
+    windows = templates(keyed(docs, id_col, text_col)).drop("n")
+    met = with_slots(windows.join(F.broadcast(items), "h")) if items.count() <= BROADCAST_ROWS else with_slots(windows).join(items, "h")
     line = [*KEY, "item", "ith", "diagonal"]
     met = met.withColumn("diagonal", F.col("pos") - F.col("at")).select(*line, "size", "pos", "slots", "theirs").dropDuplicates([*line, "pos"])
     pair = F.explode_outer(F.arrays_zip("theirs", "slots"))
@@ -65,8 +69,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.count_distinct("slots").alias("b"),
         F.count_distinct("theirs", "slots").alias("n_slots"),
     )
-    cover = WIDTH + STRIDE * (F.col("n_windows") - 1)
-    enough = cover >= F.least(F.ceil(F.col("size") / 2), F.lit(ENOUGH))
+    enough = F.col("n_windows") + WIDTH - 1 >= F.least(F.ceil(F.col("size") / 2), F.lit(ENOUGH))
     kept = judged.filter(enough & (F.col("a") == F.col("n_slots")) & (F.col("b") == F.col("n_slots")))
     return kept.groupBy(*KEY, "item").agg(F.max("n_windows").alias("n_windows"), F.max("n_slots").alias("n_slots"))
 

@@ -6,6 +6,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import regex
+
+from moraflow.llm.decontamination import UNITS
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -199,3 +203,32 @@ def manifest(rows: list[tuple]) -> list[tuple]:
                     proof, node, k = proof + before + after, sha((before + node + after).encode()), k // 8
             out.append((row[0], trees[g][0][at], trees[g][-1][0], top[-1][0], sha(proof.encode()), node, node == top[-1][0]))
     return out
+
+
+def _tokens(text: str | None) -> list[str]:
+    """Tokens of the template canonicalisation, by patterns of the `regex` module."""
+    typed = regex.sub(rf"([0-9]+(?:[.,][0-9]+)*)(?:\x20?({UNITS})\b)?", lambda m: f" #n{m[1]} #u{m[2] or ''} ", (text or "").replace("#", " "), flags=regex.ASCII)
+    named = regex.sub(r"(?<=[\p{Ll},;:]\x20)(\p{Lu}\p{L}+)", r"#a\1", typed).lower()
+    return [t for t in regex.split(r"(?:[^\p{L}\p{N}#.,]|[.,](?![0-9]))+", named) if t]
+
+
+def held_items(docs, items, width=6, enough=24):
+    """(doc, item) where windows on one diagonal cover enough of the item and their slots map one to one."""
+    shape = lambda w, k: tuple(t[:2] if t[0] == "#" else t for t in w[k : k + width])
+    at = defaultdict(list)
+    tokens = [(i, _tokens(t)) for i, t in items]
+    for n, (_, w) in enumerate(tokens):
+        for k in range(len(w) - width + 1):
+            at[shape(w, k)].append((n, k))
+    out = set()
+    for doc, text in docs:
+        w, lines = _tokens(text), defaultdict(dict)
+        for k in range(len(w) - width + 1):
+            for n, j in at.get(shape(w, k), ()):
+                lines[n, k - j][k] = j
+        for (n, _), met in lines.items():
+            item, theirs = tokens[n]
+            pairs = {(theirs[j + o], w[k + o]) for k, j in met.items() for o in range(width) if w[k + o][0] == "#"}
+            if len(met) + width - 1 >= min(-(-len(theirs) // 2), enough) and len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+                out.add((doc, item))
+    return out

@@ -106,7 +106,7 @@ def test_top_k(spark, sf_dir):
     assert metric_topk.report(frame.limit(0)).count() == 0
 
 
-def test_decontamination(spark, documents, sf_dir):
+def test_decontamination(spark, documents, sf_dir, monkeypatch):
     items = [(1, "If Ann has 12 apples and 30 km to walk, how many hours does Ann need in all?"), (2, None), (3, "short item"), (4, "If Ann has 12 apples and 30 km to walk, how many hours does Ann need in all?")]
     docs = [
         (1, "Before. If Bob has 7 apples and 41 miles to walk, how many hours does Bob need in all? After"),
@@ -127,6 +127,27 @@ def test_decontamination(spark, documents, sf_dir):
     held = {i: " " + " ".join(words.findall((t or "").lower())) + " " for i, t in pairs(documents)}
     whole = {(d, r["item_id"]) for r in table.collect() for d, t in held.items() if " " + " ".join(words.findall(r["text"].lower())) + " " in t}
     assert whole <= real
+    assert real == plain.held_items(pairs(documents), [(r["item_id"], r["text"]) for r in table.collect()])
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    assert {r[:2] for r in found(decontamination.report(documents, table))} == real
+
+
+def test_decontamination_of_short_passages_at_any_offset(spark):
+    bench = spark.createDataFrame([(1, "seven green birds sing quite loudly")], "item_id long, text string")
+    docs = [(k, "word " * k + "seven green birds sing quite loudly " + "end " * 9) for k in range(9)] + [(50, "seven green birds sing very loudly")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r[0] for r in found(decontamination.report(frame, bench))} == set(range(9))
+
+
+def test_long_runs_of_one_kind(spark, empty):
+    long_ = [c * 1_000_000 for c in ("-", " ", ",", "7", "A", "1,", "Aa ", "#")] + ["0" * 5000 + ".1.1.1", "+" + "1" * 5000, "iban " + "1" * 5000]
+    question = "how many red apples does she need in all"
+    frame = spark.createDataFrame([(k, t + " " + question) for k, t in enumerate(long_)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, question)], "item_id long, text string")
+    assert {r[0] for r in found(decontamination.report(frame, bench))} == set(range(len(long_)))
+    assert decontamination.report(empty, bench).count() == decontamination.report(frame, bench.limit(0)).count() == 0
+    got = {r["doc_id"]: r["spans"] for r in pii.find(frame).collect()}
+    assert got[8] == "ip:0:5006" and len(got) == len(long_)
 
 
 def test_toxicity_held_out_accuracy(spark):
