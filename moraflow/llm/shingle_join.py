@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moraflow.llm.components import components
 from moraflow.llm.hashing import Units, mix, prefix_sums, range_hash
-from moraflow.llm.texts import keyed, keyed_rows, pieces, public_id, written
+from moraflow.llm.texts import discard, keyed, keyed_rows, pieces, public_id, written
 
 SHINGLE, PERCENT = 5, 75
 SLOTS, PARTS, SPREAD = 1 << 20, 16, 32
@@ -219,14 +219,15 @@ def hub_pairs(post: DataFrame) -> DataFrame:
     return both.select(*[F.col(f"{s}.{k}").alias(f"{s}{k}") for s in "xy" for k in CLASS]).distinct()
 
 
-def rest_pairs(post: DataFrame, roots: DataFrame, one: DataFrame) -> DataFrame:
-    """Candidates between classes that no link connects yet; `roots` has (c, n, root) of connected classes.
-
-    Only the postings of lists that hold several roots are given the bitmaps of their class.
-    """
+def open_postings(post: DataFrame, roots: DataFrame, one: DataFrame) -> DataFrame:
+    """Postings of lists that hold several roots, with root and bitmaps; `roots` has (c, n, root) of connected classes."""
     known = post.join(roots, CLASS, "left").withColumn("root", F.coalesce("root", F.col("c")))
     ends = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
-    open_ = written(known.join(ends, "token").join(one.select("c", "bits"), "c"), "open-postings")
+    return written(known.join(ends, "token").join(one.select("c", "bits"), "c"), "open-postings")
+
+
+def rest_pairs(open_: DataFrame) -> DataFrame:
+    """Candidates between classes that no link connects yet."""
     x = F.struct(*CLASS, "l", "pos", "root", *(F.col("bits")[k].alias(f"b{k}") for k in range(BITMAP)))
     left, right = open_.select("token", x.alias("x")), open_.select("token", x.alias("y"))
     on = (F.col("p.token") == F.col("q.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root")) & possible("x", "y") & bits_allow("x", "y")
@@ -245,15 +246,18 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame
     return docs.join(places, ["_id", "_th"]).select(*CLASS, "_text").mapInArrow(make, "c long, n int, tokens array<long>")
 
 
-def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(xc, xn, yc, yn) of the pairs that are similar."""
+def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, done: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """(xc, xn, yc, yn) of the pairs that are similar. `done` are steps that only the pairs were made from."""
     pairs = written(pairs, "pairs")
+    discard(*done)
     wanted = pairs.select(F.col("xc").alias("c"), F.col("xn").alias("n")).unionByName(pairs.select(F.col("yc").alias("c"), F.col("yn").alias("n"))).distinct()
     sets = written(sets_of(docs, classes, wanted), "sets")
     side = lambda s: sets.select(F.col("c").alias(f"{s}c"), F.col("n").alias(f"{s}n"), F.col("tokens").alias(f"{s}set"))
     both = pairs.join(side("x"), ["xc", "xn"]).join(side("y"), ["yc", "yn"])
     shared = F.size(F.array_intersect("xset", "yset"))
-    return both.filter(100 * shared >= PERCENT * (F.col("xn") + F.col("yn") - shared)).select("xc", "xn", "yc", "yn")
+    found = written(both.filter(100 * shared >= PERCENT * (F.col("xn") + F.col("yn") - shared)).select("xc", "xn", "yc", "yn"), "links")
+    discard(pairs, sets)
+    return found
 
 
 def rooted(found: DataFrame, first: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -275,9 +279,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     repeated = every.filter("n > 0").join(several, "_id").join(first, CLASS).select("u", F.col("_id").alias("v"))
     one = class_prefixes(prefixes(rows, sketch(scan)))
     post = postings(one)
-    near = written(links(rows, classes, hub_pairs(post)), "links")
-    roots = rooted(near, first, repeated)
-    rest = links(rows, classes, rest_pairs(post, roots, one))
+    near = links(rows, classes, hub_pairs(post))
+    open_ = open_postings(post, rooted(near, first, repeated), one)
+    discard(post, one)
+    rest = links(rows, classes, rest_pairs(open_), done=(open_,))
     final = rooted(near.unionByName(rest), first, repeated)
     return every.join(final, CLASS, "left").select("_id", "n", F.coalesce("root", "_id").alias("component"))
 

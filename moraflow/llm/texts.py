@@ -47,6 +47,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*steps: DataFrame) -> None:
+    """Empties the folders of steps that `written` made, once nothing reads them any more.
+
+    What was computed from them must be written itself by then, as lost work is done again from written steps.
+    """
+    for step in steps:
+        for folder in {file.rsplit("/", 1)[0] for file in step.inputFiles()}:
+            step.sparkSession.createDataFrame([], step.schema).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "_text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most BATCH_ROWS rows and about BATCH_BYTES of text; a longer text comes alone."""
     for batch in batches:
