@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from moraflow.functions import fixed_values as fv
 from moraflow.operators import calendar as cal
 from moraflow.operators import first_contact, harmonise
-from moraflow.plans import facts, portfolio
+from moraflow.plans import facts, ledger, portfolio, quality
 from moraflow.schemas import OUTPUTS, conform
 from moraflow.sources import scans, sinks
 
@@ -74,11 +74,12 @@ def run_facts(
 
 
 def build_detailed(
-    spark: SparkSession, src: Sources, month: date, state: str, run_at: datetime, last_day: date, compat: bool = False
+    spark: SparkSession, src: Sources, month: date, state: str, run_at: datetime, last_day: date, compat: bool = False,
+    by_file: bool = False,
 ) -> dict[str, DataFrame]:
     """The four detailed outputs for the periods of a month, all periods in one plan.
 
-    `last_day` bounds the business-day calendar (periods may run past their month).
+    `by_file` adds the period's file to every output, which the ledger needs. `last_day` bounds the business-day calendar (periods may run past their month).
     """
     periods = scans.periods_of_month(src.calendario, month, state)
     rows = scans.assignment_of_files(src.asignacion, scans.period_files(periods))
@@ -86,29 +87,33 @@ def build_detailed(
     shaped = harmonise.shape_bot(src.gestiones_bot).unionByName(harmonise.shape_human(src.gestiones_humano))
     calendar = cal.business_calendar(cal.date_range(spark, month.replace(day=1), last_day))
     grouped = portfolio.contacts(shaped, base)
-    aggregated = portfolio.aggregate_contacts(grouped, calendar, compat)
+    aggregated = portfolio.aggregate_contacts(grouped, calendar, compat, by_file)
     debt = src.tran_deuda if compat else scans.dated_debt(src.tran_deuda)
     return {
         "agregada": aggregated,
         "comparativas": portfolio.comparisons(aggregated, calendar),
-        "primera_vez": portfolio.first_contacts(grouped, calendar, run_at),
-        "base_cartera": portfolio.base_portfolio(base, debt, src.pagos, compat),
+        "primera_vez": portfolio.first_contacts(grouped, calendar, run_at, by_file=by_file),
+        "base_cartera": portfolio.base_portfolio(base, debt, src.pagos, compat, by_file),
     }
 
 
-def run_label(month: date, state: str) -> str:
-    return f"{month:%Y-%m}-{state}"
+def run_detailed(
+    spark: SparkSession, src: Sources, month: date, state: str, run_at: datetime, last_day: date, folder: str, run: str,
+    compat: bool = False, refuse_warnings: bool = False,
+) -> dict[str, int]:
+    """Write the four detailed outputs of a month's periods in a state; the run then owns those periods.
 
+    Returns the rows by table. With `refuse_warnings`, tables that the quality report warns of are not committed.
+    """
+    outputs = build_detailed(spark, src, month, state, run_at, last_day, compat, by_file=True)
+    periods = scans.periods_of_month(src.calendario, month, state)
+    return ledger.commit_run(outputs, periods, folder, run, quality_faults if refuse_warnings else None)
 
-def write_detailed(outputs: dict[str, DataFrame], folder: str, first: date, last: date, run: str) -> dict[str, int]:
-    """Replace the days of a run's periods in each detailed table.
 
-    Periods of different months and states overlap in days, so each run has a partition `corrida` of its own:
-    `run_label` of a month and state, or the period's file in isolated runs. Rows of other runs are never touched.
-    """
-    return {
-        name: sinks.replace_range(df, name, f"{folder}/{name}/corrida={run}", first, last) for name, df in outputs.items()
-    }
+def quality_faults(tables: dict[str, DataFrame]) -> list[str]:
+    """What the quality report warns of, one text for each table."""
+    warned = quality.quality_report(tables).where("status = 'WARNING'").collect()
+    return [f"{r.table_name}: {', '.join(r.issues)}" for r in warned]
 
 
 @dataclass

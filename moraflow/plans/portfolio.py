@@ -26,10 +26,11 @@ def contacts(interactions: DataFrame, base: DataFrame) -> DataFrame:
     )
 
 
-def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = False) -> DataFrame:
+def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = False, by_file: bool = False) -> DataFrame:
     """Contacts by the fifteen dimensions: actions, clients, first contacts, amounts, business day and ratios.
 
-    `compat` counts every row as an amount and drops groups with a null dimension.
+    `compat` counts every row as an amount and drops groups with a null dimension. `by_file` also returns the period's
+    file, `archivo`.
     """
     n = F.col("q_cuentas")
 
@@ -60,6 +61,7 @@ def aggregate_contacts(grouped: DataFrame, calendar: DataFrame, compat: bool = F
     promises, amount = F.col("cantidad_compromisos"), F.col("monto_total_comprometido")
     return totals.join(days, F.col("FECHA_SERVICIO") == F.col("_fecha"), "left").select(
         *DIMENSIONS,
+        *(["archivo"] if by_file else []),
         "total_interacciones",
         F.col("duracion").cast("double").alias("duracion_total_minutos"),
         rules.ratio(F.col("duracion"), F.col("q_duracion")).alias("duracion_promedio_minutos"),
@@ -99,10 +101,13 @@ def comparisons(aggregated: DataFrame, calendar: DataFrame) -> DataFrame:
     return aggregated.join(extra, F.col("FECHA_SERVICIO") == F.col("fecha_actual"))
 
 
-def first_contacts(grouped: DataFrame, calendar: DataFrame, run_at: datetime, dedup: bool = False) -> DataFrame:
+def first_contacts(
+    grouped: DataFrame, calendar: DataFrame, run_at: datetime, dedup: bool = False, by_file: bool = False
+) -> DataFrame:
     """Rows on which a client is contacted for the first time in the period and channel.
 
-    One row per interaction and assignment row, ties included; `dedup` keeps distinct rows.
+    One row per interaction and assignment row, ties included; `dedup` keeps distinct rows. `by_file` also returns the
+    period's file, `archivo`.
     """
     days = calendar.select(F.col("fecha").alias("_fecha"), "dia_habil_del_mes")
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("q_primera_cliente")))
@@ -111,7 +116,7 @@ def first_contacts(grouped: DataFrame, calendar: DataFrame, run_at: datetime, de
         rows = rows.withColumn("_copia", copies)
     columns = rows.select(
         "cliente", "FECHA_SERVICIO", "CARTERA", "CANAL", "OPERADOR", "GRUPO_RESPUESTA", "dia_habil_del_mes",
-        F.col("tiene_efectivo").alias("es_primer_contacto_efectivo"),
+        F.col("tiene_efectivo").alias("es_primer_contacto_efectivo"), *(["archivo"] if by_file else []),
     )
     stamped = columns.distinct() if dedup else columns
     return stamped.withColumn("timestamp_primera_interaccion", F.lit(run_at).cast("timestamp_ntz"))
@@ -126,11 +131,13 @@ def portfolio_counts(base: DataFrame) -> DataFrame:
     )
 
 
-def base_portfolio(base: DataFrame, debt: DataFrame, payments: DataFrame, compat: bool = False) -> DataFrame:
+def base_portfolio(
+    base: DataFrame, debt: DataFrame, payments: DataFrame, compat: bool = False, by_file: bool = False
+) -> DataFrame:
     """Portfolio size, debt, payments and recovery ratio.
 
     Debt counts where its date is the debt date of the period; `compat` takes all debt rows of the account, and drops
-    portfolios with a null key.
+    portfolios with a null key. `by_file` reports each period's file apart, as runs period by period do.
     """
     if compat:
         owed_keys, base = ["cod_cuenta"], base.dropna(subset=PORTFOLIO_KEYS)
@@ -147,7 +154,7 @@ def base_portfolio(base: DataFrame, debt: DataFrame, payments: DataFrame, compat
         .join(owed, owed_keys, "left")
         .join(paid, "cod_cuenta", "left")
     )
-    totals = rows.groupBy(*PORTFOLIO_KEYS).agg(
+    totals = rows.groupBy(*PORTFOLIO_KEYS, *(["archivo"] if by_file else [])).agg(
         F.count("cod_luna").alias("total_cod_lunas"),
         F.count_distinct("cuenta").alias("cuentas_unicas"),
         F.count_distinct("cliente").alias("clientes_unicos"),

@@ -4,13 +4,13 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from moraflow.plans import month_run, reports
+from moraflow.plans import ledger, month_run, reports
 from moraflow.registry.core import WINDOW, enriched_sql, query
 from moraflow.registry.detailed import _agregada, agregada_sql
 from moraflow.operators import calendar as cal
 from moraflow.schemas import OUTPUTS, conform
 from moraflow.session import shared_folder
-from moraflow.sources import sinks
+from moraflow.sources import scans, sinks
 
 
 @query("a9_roundtrip", "SELECT * FROM fact_diaria")
@@ -125,20 +125,43 @@ def a15_detailed(t):
     )
 
 
-@query("a15_rerun_periods", agregada_sql() + """
+DETAILED_TOTALS = """
 SELECT CARTERA, CANAL, FECHA_SERVICIO, COUNT(*) AS filas, CAST(SUM(total_interacciones) AS BIGINT) AS interacciones
-FROM agregada GROUP BY 1, 2, 3""")
+FROM agregada GROUP BY 1, 2, 3"""
+
+
+def _commit(t, calendario, state, folder, run):
+    """A run of the aggregate over the periods in a state. Returns the table's schema."""
+    src = sources(t)
+    src.calendario = calendario
+    outputs = month_run.build_detailed(
+        t.spark, src, WINDOW.first, state, datetime(2024, 1, 31), date(2024, 2, 29), by_file=True
+    )
+    periods = scans.periods_of_month(calendario, WINDOW.first, state)
+    ledger.commit_run({"agregada": outputs["agregada"]}, periods, folder, run)
+    return outputs["agregada"].schema
+
+
+def _stored_totals(t, folder, schema):
+    return ledger.read(t.spark, folder, "agregada", schema).groupBy("CARTERA", "CANAL", "FECHA_SERVICIO").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("total_interacciones").alias("interacciones")
+    )
+
+
+@query("a15_rerun_periods", agregada_sql() + DETAILED_TOTALS)
 def a15_rerun(t):
     """Closed periods written, then the open ones, whose days overlap, then the closed ones again; all rows stay."""
     folder = shared_folder(t.spark, "detailed")
-    for state in ("finalizado", "abierto", "finalizado"):
-        outputs = month_run.build_detailed(
-            t.spark, sources(t), WINDOW.first, state, datetime(2024, 1, 31), date(2024, 2, 29)
-        )
-        month_run.write_detailed(
-            {"agregada": outputs["agregada"]}, folder, WINDOW.first, date(2024, 2, 29), month_run.run_label(WINDOW.first, state)
-        )
-    stored = t.spark.read.parquet(f"{folder}/agregada")
-    return stored.groupBy("CARTERA", "CANAL", "FECHA_SERVICIO").agg(
-        F.count(F.lit(1)).alias("filas"), F.sum("total_interacciones").alias("interacciones")
-    )
+    for k, state in enumerate(("finalizado", "abierto", "finalizado")):
+        schema = _commit(t, t.calendario(), state, folder, f"run{k}")
+    return _stored_totals(t, folder, schema)
+
+
+@query("a15_state_change", agregada_sql() + DETAILED_TOTALS)
+def a15_state(t):
+    """The closed and the open periods, then all periods closed: every period has its rows once."""
+    folder = shared_folder(t.spark, "detailed")
+    for state in ("finalizado", "abierto"):
+        _commit(t, t.calendario(), state, folder, f"run-{state}")
+    closed = t.calendario().withColumn("ESTADO", F.lit("FINALIZADO"))
+    return _stored_totals(t, folder, _commit(t, closed, "finalizado", folder, "run-all-closed"))

@@ -28,9 +28,26 @@ def append(df: DataFrame, table: str, path: str) -> None:
     _arranged(df, table).write.mode("append").partitionBy(day).parquet(path)
 
 
-def _delete_partition(spark: SparkSession, path: str) -> None:
+def overwrite(df: DataFrame, table: str, path: str) -> None:
+    """The path holds exactly the given rows, in day partitions."""
+    day, _ = layout_of(table, df)
+    writer = _arranged(df, table).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(day).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, storage = _place(spark, path)
+    return storage.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, storage = _place(spark, path)
+    storage.delete(target, True)
 
 
 def replace_range(df: DataFrame, table: str, path: str, first: date, last: date) -> int:
@@ -56,7 +73,7 @@ def replace_range(df: DataFrame, table: str, path: str, first: date, last: date)
     for offset in range((last - first).days + 1):
         current = first + timedelta(days=offset)
         if current not in written:
-            _delete_partition(spark, f"{path}/{day}={current.isoformat()}")
+            delete(spark, f"{path}/{day}={current.isoformat()}")
     return seen.get["rows"]
 
 
