@@ -86,6 +86,29 @@ def test_line_dedup(odd, odd_rows, documents):
     assert found(line_dedup.report(documents)) == sorted(plain.line_dedup(pairs(documents)))
 
 
+def test_line_bitmaps_of_long_documents(spark):
+    """Lines that go stand in far words of a bitmap, with words between that lose none, and in runs of the same line."""
+    common = "a line that many documents hold, long enough to count"
+    rows = [(k, common) for k in range(6)]
+    rows.append((6, "\n".join(common if k in (0, 64, 700, 5000) else f"line {k} of its own, which no other document has" for k in range(5200))))
+    rows += [(7, "\n".join([common] * 3000)), (8, "\n".join([common, "short"] * 130)), (9, common)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(line_dedup.report(docs)) == sorted(plain.line_dedup(rows))
+    keyed = docs.selectExpr("doc_id as _id", "xxhash64(text) as _th", "text as _text")
+    sizes = {r._id: (r.n_dropped, len(r.keep)) for r in line_dedup.keep_bitmaps(keyed).collect()}
+    assert sizes[6] == (4, 79) and sizes[7] == (3000, 47) and sizes[8] == (130, 5) and 9 not in sizes
+
+
+def test_first_lines_are_streamed_from_sorted_ranges(spark):
+    """The secondary sort stays in the plan, and the window takes the ranges as they are."""
+    lines = spark.createDataFrame([(1, 2, k % 7, 3, k) for k in range(100)], "h1 long, h2 long, _id long, _th long, pos int")
+    first = line_dedup.first_occurrences(lines)
+    assert found(first.select("_id", "pos")) == [(k, k) for k in range(7)]
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h1" in plan and "hashpartitioning" not in plan
+    assert "pos#" in plan.split("Sort [", 1)[1].split("]", 1)[0]
+
+
 def test_bpe_equals_the_library(odd, odd_rows, documents):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for frame, rows in ((odd, odd_rows), (documents, pairs(documents))):
