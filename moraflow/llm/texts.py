@@ -11,6 +11,7 @@ from moraflow.session import shared_folder
 
 NO_ID = -(2**63)  # stands for a null id inside the operators; it sorts first
 BATCH_BYTES = 1 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = 512
 
 
@@ -41,10 +42,20 @@ def public_id(column: str | Column = "_id") -> Column:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows of `df`, written once to the folder that the cluster shares and read from there."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows of `df`, written once to the folder that the cluster shares and read from there.
+
+    The shuffle files of the write are deleted at its end instead of when the driver's memory is next collected: nothing
+    reads them again, as later steps start from the written rows.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(*steps: DataFrame) -> None:
