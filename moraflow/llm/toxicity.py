@@ -132,31 +132,61 @@ def measured(docs: DataFrame, dicts: tuple[bytes, bytes]) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id long, m array<double>")
 
 
-def window_sample(labelled: DataFrame, toxic: int) -> list[bytes]:
-    """At most SAMPLE distinct windows, the least by hash, from all texts of a class."""
+def class_windows(rows: DataFrame, labelled: DataFrame, toxic: int, share: float) -> DataFrame:
+    """(w): the distinct windows of a class whose hash lies in the lowest `share` of all hashes.
+
+    Windows meet the labels after they are cut and chosen by hash, so whole texts are never shuffled.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            for text in batch.column("_text").to_pylist():
+            for key, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist()):
                 some = list(windows(text.lower().encode()))
                 for k in range(0, len(some), 8192):
-                    yield pa.RecordBatch.from_arrays([pa.array(some[k : k + 8192], pa.binary())], names=["w"])
+                    w = pa.array(some[k : k + 8192], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(w), pa.int64()), w], names=["_id", "w"])
+
+    cuts = rows.filter(learnt(0)).select("_id", "_text").mapInArrow(cut, "_id long, w binary")
+    few = cuts.filter(F.xxhash64("w") < int(share * 2**64) - 2**63) if share < 1 else cuts
+    return few.join(labelled.filter(learnt(0) & (F.col("toxic") == toxic)).select("_id"), "_id").select("w").distinct()
+
+
+def window_sample(rows: DataFrame, labelled: DataFrame, toxic: int, likely: int) -> list[bytes]:
+    """At most SAMPLE distinct windows, the least by hash, from all texts of a class.
+
+    `labelled` has (_id, toxic), one row for each id; `likely` is about how many windows the class has. Where copies leave
+    too few windows of small hash, more are let in.
+    """
+    share = 2 * SAMPLE / max(1, likely)
+    while True:
+        found = class_windows(rows, labelled, toxic, share).orderBy(F.xxhash64("w"), "w").limit(SAMPLE).collect()
+        if share >= 1 or len(found) == SAMPLE:
+            return [bytes(r["w"]) for r in found]
+        share *= 4
+
+
+def learnt(part: int) -> Column:
+    """Ids that may be learnt from, halved by hash: 0 for the dictionaries, 1 for the calibration."""
+    return ~held_out(F.col("_id")) & (F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(2)) == part)
+
 
-    rows = labelled.filter(F.col("toxic") == toxic).select("_text").mapInArrow(cut, "w binary").distinct()
-    return [bytes(r["w"]) for r in rows.orderBy(F.xxhash64("w"), "w").limit(SAMPLE).collect()]
+def likely_windows(rows: DataFrame, labelled: DataFrame) -> dict[int, int]:
+    """About how many windows the texts of each class have, from their lengths alone."""
+    sizes = rows.filter(learnt(0)).select("_id", F.ceil((F.octet_length("_text") + 1) / WINDOW).alias("k"))
+    found = sizes.join(labelled.filter(learnt(0)), "_id").groupBy("toxic").agg(F.sum("k").alias("k"))
+    return {r["toxic"]: r["k"] for r in found.collect()}
 
 
 def fit(rows: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "toxic"):
     """((toxic dictionary, ordinary dictionary), weights), or None without labels of both classes."""
     named = labels.select(F.col(label_id).cast("long").alias("_id"), F.col(label_col).cast("int").alias("toxic")).filter("_id is not null and toxic is not null")
     named = named.filter(~held_out(F.col("_id"))).groupBy("_id").agg((F.max("toxic") >= 1).cast("int").alias("toxic"))
-    part = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(2))
-    learn = rows.join(named.filter(part == 0), "_id")
-    toxic, ordinary = window_sample(learn, 1), window_sample(learn, 0)
+    likely = likely_windows(rows, named)
+    toxic, ordinary = (window_sample(rows, named, k, likely[k]) if k in likely else [] for k in (1, 0))
     if not toxic or not ordinary:
         return None
     dicts = dictionaries(toxic, ordinary)
-    chosen = [named.filter((part == 1) & (F.col("toxic") == k)).orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATE) for k in (0, 1)]
+    chosen = [named.filter(learnt(1) & (F.col("toxic") == k)).orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATE) for k in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])
     known = measured(rows.join(chosen.select("_id"), "_id"), dicts).join(chosen, "_id").select("m", "toxic").limit(4 * CALIBRATE).collect()
     y = np.array([r["toxic"] for r in known])

@@ -231,3 +231,25 @@ def test_stages_keep_columns_and_clean_rows(spark, sf_dir, odd, odd_rows):
             assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, n, root in plain.shingle_groups(odd_rows) if i == root)
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and rows.filter(F.col("n_tokens") >= 0).count() > 100
+
+
+def test_toxicity_window_sample_is_the_least_by_hash_without_shuffled_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    texts = [(i, f"copied words of document {i % 9} " * (3 + i % 5) if i % 2 else f"own words {i * 7919} of {i} " * 8) for i in range(400)]
+    rows = spark.createDataFrame(texts, "_id long, _text string")
+    labelled = spark.createDataFrame([(i, int(i % 4 == 1)) for i in range(300)], "_id long, toxic int")
+    learnt = {r["_id"] for r in rows.filter(toxicity.learnt(0)).select("_id").collect()}
+    assert toxicity.likely_windows(rows, labelled).keys() == {0, 1}
+    for kind in (0, 1):
+        every = {w for i, t in texts if i in learnt and i < 300 and (i % 4 == 1) == bool(kind) for w in toxicity.windows(t.encode())}
+        ordered = spark.createDataFrame([(bytearray(w),) for w in every], "w binary").orderBy(F.xxhash64("w"), "w").collect()
+        for likely in (1, 200, 10**6):  # too few windows are let in at first by the last
+            assert toxicity.window_sample(rows, labelled, kind, likely) == [bytes(r["w"]) for r in ordered[:40]]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = toxicity.class_windows(rows, labelled, 1, 0.5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    cut, scan = plan.split("MapInArrow", 1)[0], plan.split("MapInArrow", 1)[1].split("Scan", 1)[0]
+    assert "SortMergeJoin" in cut and "Exchange" in cut and "Exchange" not in scan
