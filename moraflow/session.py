@@ -14,6 +14,11 @@ SETTINGS = {
     # A key that holds a large share of the rows is split at run time, also where an aggregation follows the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Size of a task. A join of interactions with accounts makes tens of rows of each it reads, so tasks read little, and
+    # their number follows the input: it is not held down by spark.sql.shuffle.partitions.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
