@@ -3,7 +3,8 @@
 Lines travel as hashes, written once. They are range-partitioned by (hash, document) and sorted by position within, so
 that a line which a third of all documents hold is spread over as many partitions as its rows need; each partition streams
 its first row of every (hash, document), only those are counted, and the answer is a bitmap for each document that ends
-with the last word that loses a line. Texts are not shuffled until a caller applies the bitmaps.
+with the last word that loses a line. Texts are not shuffled until a caller applies the bitmaps; `without_repeats` then
+moves only rows that may have one.
 
 Defined cases: a null or empty text is one empty line; keys shorter than `min_chars` never go; a line repeated inside
 one document counts as one document; rows that repeat a doc_id are one document for the count, and all of them keep the
@@ -13,7 +14,7 @@ line if that doc_id is the largest; a null doc_id is smaller than any other; an
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moraflow.llm.texts import discard, keyed, keyed_rows, public_id, written
+from moraflow.llm.texts import discard, keyed, keyed_rows, public_id, split_by_filter, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
@@ -112,7 +113,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """The rows of `docs`, with all columns, their texts without the lines that go; `size_col`, if there, follows."""
     bitmaps = keep_bitmaps(keyed(docs, id_col, text_col)).select(*KEY, "keep")
-    rows = keyed_rows(docs, id_col, text_col).drop("_text").join(bitmaps, KEY, "left")
+    some, none = split_by_filter(keyed_rows(docs, id_col, text_col).drop("_text"), bitmaps, KEY)
+    rows = some.join(bitmaps, KEY, "left").unionByName(none.withColumn("keep", F.lit(None).cast("array<long>")))
     text = F.when(F.col("keep").isNull(), F.col("_row")[text_col]).otherwise(kept_text(F.col("_row")[text_col], F.col("keep")))
     new = rows.withColumn("_new", text)
     size = F.when(F.col("keep").isNull(), F.col("_row")[size_col]).otherwise(F.length("_new")) if size_col in docs.columns else None

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moraflow.llm.components import components
 from moraflow.llm.hashing import Units, mix, prefix_sums, range_hash
-from moraflow.llm.texts import discard, keyed, keyed_rows, pieces, public_id, written
+from moraflow.llm.texts import discard, keyed, keyed_rows, pieces, public_id, split_by_filter, written
 
 SHINGLE, PERCENT = 5, 75
 SLOTS, PARTS, SPREAD = 1 << 20, 16, 32
@@ -234,16 +234,16 @@ def rest_pairs(open_: DataFrame) -> DataFrame:
     return candidates(left.alias("p").join(right.alias("q"), on))
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, n, tokens) of the wanted classes, read again from the text of their first document."""
-    places = classes.join(wanted, CLASS).select(*CLASS, "place.*")
+def sets_of(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(c, n, tokens) of the classes of `places`, read again from the text of their first document; few others move."""
+    some, _ = split_by_filter(docs, places, ["_id", "_th"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("_text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), pa.array(sets, pa.list_(pa.int64()))], names=["c", "n", "tokens"])
 
-    return docs.join(places, ["_id", "_th"]).select(*CLASS, "_text").mapInArrow(make, "c long, n int, tokens array<long>")
+    return some.join(places, ["_id", "_th"]).select(*CLASS, "_text").mapInArrow(make, "c long, n int, tokens array<long>")
 
 
 def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, done: tuple[DataFrame, ...] = ()) -> DataFrame:
@@ -251,12 +251,13 @@ def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, done: tuple[Dat
     pairs = written(pairs, "pairs")
     discard(*done)
     wanted = pairs.select(F.col("xc").alias("c"), F.col("xn").alias("n")).unionByName(pairs.select(F.col("yc").alias("c"), F.col("yn").alias("n"))).distinct()
-    sets = written(sets_of(docs, classes, wanted), "sets")
+    places = written(classes.join(wanted, CLASS).select(*CLASS, "place.*"), "places")
+    sets = written(sets_of(docs, places), "sets")
     side = lambda s: sets.select(F.col("c").alias(f"{s}c"), F.col("n").alias(f"{s}n"), F.col("tokens").alias(f"{s}set"))
     both = pairs.join(side("x"), ["xc", "xn"]).join(side("y"), ["yc", "yn"])
     shared = F.size(F.array_intersect("xset", "yset"))
     found = written(both.filter(100 * shared >= PERCENT * (F.col("xn") + F.col("yn") - shared)).select("xc", "xn", "yc", "yn"), "links")
-    discard(pairs, sets)
+    discard(pairs, places, sets)
     return found
 
 
@@ -292,9 +293,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows that repeat a doc_id are one document and stay or go together; documents without words stay.
     """
-    kept = written(groups(docs, id_col, text_col).filter("_id = component").select("_id").distinct(), "kept")
-    rows = keyed_rows(docs, id_col, text_col).select("_id", "_row").join(kept, "_id", "left_semi")
-    return rows.select("_row.*")
+    stays = F.bool_or(F.col("_id") == F.col("component")).alias("stays")
+    gone = written(groups(docs, id_col, text_col).groupBy("_id").agg(stays).filter("not stays").select("_id"), "gone")
+    some, none = split_by_filter(keyed_rows(docs, id_col, text_col).select("_id", "_row"), gone, ["_id"])
+    return some.join(gone, "_id", "left_anti").unionByName(none).select("_row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ NO_ID = -(2**63)  # stands for a null id inside the operators; it sorts first
 BATCH_BYTES = 1 << 20
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = 512
+FILTER_BITS = 1 << 23  # of the key filter: at most 131,072 rows of 64 bits, whatever the number of keys
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +69,22 @@ def discard(*steps: DataFrame) -> None:
             step.sparkSession.createDataFrame([], step.schema).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
+def split_by_filter(rows: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """`rows` that may have a key of `keys`, and the rest, which has none.
+
+    A bit for each hash of a key is set, and the words of these bits are broadcast: they are few for few keys and bounded
+    for many. So a join with `keys` moves texts only of the first part; it still has to ask for equal keys. A key filter
+    that is nearly full lets all rows through, which costs work and no results. Keys must not be null.
+    """
+    slot = F.pmod(F.xxhash64(*on, F.lit(11)), F.lit(FILTER_BITS))
+    words = keys.select(slot.alias("_slot")).groupBy(F.expr("_slot div 64").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_slot % 64 as int))")).alias("_bits")
+    )
+    marked = rows.withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64")).join(F.broadcast(words), "_word", "left")
+    may = F.coalesce(F.getbit("_bits", (F.col("_slot") % 64).cast("int")) == 1, F.lit(False))
+    return marked.filter(may).select(*rows.columns), marked.filter(~may).select(*rows.columns)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "_text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most BATCH_ROWS rows and about BATCH_BYTES of text; a longer text comes alone."""
     for batch in batches:

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moraflow.llm.texts import keyed, pieces, public_id
+from moraflow.llm.texts import keyed, pieces, public_id, split_by_filter
 
 WINDOW, SLIDE = 64, 12
 SAMPLE, CALIBRATE = 60_000, 4_000
@@ -135,7 +135,8 @@ def measured(docs: DataFrame, dicts: tuple[bytes, bytes]) -> DataFrame:
 def class_windows(rows: DataFrame, labelled: DataFrame, toxic: int, share: float) -> DataFrame:
     """(w): the distinct windows of a class whose hash lies in the lowest `share` of all hashes.
 
-    Windows meet the labels after they are cut and chosen by hash, so whole texts are never shuffled.
+    Windows meet the labels after they are cut and chosen by hash, so whole texts are never shuffled, nor are windows of
+    texts that cannot be of the class.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +149,9 @@ def class_windows(rows: DataFrame, labelled: DataFrame, toxic: int, share: float
 
     cuts = rows.filter(learnt(0)).select("_id", "_text").mapInArrow(cut, "_id long, w binary")
     few = cuts.filter(F.xxhash64("w") < int(share * 2**64) - 2**63) if share < 1 else cuts
-    return few.join(labelled.filter(learnt(0) & (F.col("toxic") == toxic)).select("_id"), "_id").select("w").distinct()
+    ids = labelled.filter(learnt(0) & (F.col("toxic") == toxic)).select("_id")
+    some, _ = split_by_filter(few, ids, ["_id"])
+    return some.join(ids, "_id").select("w").distinct()
 
 
 def window_sample(rows: DataFrame, labelled: DataFrame, toxic: int, likely: int) -> list[bytes]:
