@@ -162,6 +162,20 @@ def test_decontamination_of_short_passages_at_any_offset(spark):
     assert {r[0] for r in found(decontamination.report(frame, bench))} == set(range(9))
 
 
+def test_decontamination_holds_no_text_per_window(spark, monkeypatch):
+    """Rows of windows that had all tokens of their text would take 50 GB here; a benchmark above the limit is not broadcast."""
+    question = "If Bob has 7 apples and 41 miles to walk, how many hours does Bob need in all?"
+    long_ = " ".join(f"w{k % 991} {k}" for k in range(20_000)) + " so " + question
+    frame = spark.createDataFrame([(1, long_), (2, "some " + question), (3, "quite another text of more than six words")], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, question) for k in range(50)] + [(90, question.replace("hours", "days"))], "item_id long, text string")
+    expected = {(d, i) for d in (1, 2) for i in [*range(50), 90]}
+    assert {r[:2] for r in found(decontamination.report(frame, bench))} == expected
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    report = decontamination.report(frame, bench)
+    assert {r[:2] for r in found(report)} == expected and "SortMergeJoin [h#" in report._jdf.queryExecution().toString()
+    assert [r.doc_id for r in decontamination.clean(frame, bench).collect()] == [3]
+
+
 def test_long_runs_of_one_kind(spark, empty):
     long_ = [c * 1_000_000 for c in ("-", " ", ",", "7", "A", "1,", "Aa ", "#")] + ["0" * 5000 + ".1.1.1", "+" + "1" * 5000, "iban " + "1" * 5000]
     question = "how many red apples does she need in all"
