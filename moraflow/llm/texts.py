@@ -7,11 +7,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraflow.session import shared_folder
+from moraflow.sources.sinks import written  # noqa: F401 - used by the operators
 
 NO_ID = -(2**63)  # stands for a null id inside the operators; it sorts first
 BATCH_BYTES = 1 << 20
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = 512
 FILTER_BITS = 1 << 23  # of the key filter: at most 131,072 rows of 64 bits, whatever the number of keys
 
@@ -42,23 +41,6 @@ def public_id(column: str | Column = "_id") -> Column:
     return F.nullif(F.col(column) if isinstance(column, str) else column, F.lit(NO_ID))
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows of `df`, written once to the folder that the cluster shares and read from there.
-
-    The shuffle files of the write are deleted at its end instead of when the driver's memory is next collected: nothing
-    reads them again, as later steps start from the written rows.
-    """
-    spark = df.sparkSession
-    path = shared_folder(spark, purpose)
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def discard(*steps: DataFrame) -> None:
     """Empties the folders of steps that `written` made, once nothing reads them any more.
 

@@ -8,7 +8,7 @@ from moraflow.plans import facts, migration, portfolio, quality, reports
 from moraflow.registry.core import WINDOW, query
 from moraflow.registry.detailed import STORED, _agregada, agregada_sql
 from moraflow.registry.scans_and_rules import AS_OF
-from moraflow.sources import scans
+from moraflow.sources import scans, sinks
 from moraflow.sources.driver_tables import DAY_0
 
 
@@ -336,6 +336,8 @@ SELECT SUM(Q_CONTACTOS_EFECTIVOS)::DOUBLE / SUM(Q_INTERACCIONES_TOTAL)::DOUBLE A
        SUM(Q_INTERACCIONES_TOTAL)::DOUBLE / COUNT(DISTINCT OPERADOR_FINAL) AS PRODUCTIVIDAD_OPERADOR
 FROM fact_diaria""")
 def m8(t):
+    """The ratios and the KPIs read one written daily fact: its joins run once and their shuffle files go before the rest."""
+    t.daily = sinks.written(t.daily, "m8")
     return reports.global_ratios(t.daily, t.kpis)
 
 

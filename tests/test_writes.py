@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moraflow.operators import calendar as cal
 from moraflow.operators import harmonise
 from moraflow.plans import facts, month_run, quality, reports
-from moraflow.registry import runs
+from moraflow.registry import reports_quality, runs
 from moraflow.registry.core import WINDOW, Inputs
 from moraflow.schemas import OUTPUTS, conform
 from moraflow.sources import sinks
@@ -220,3 +220,22 @@ def test_null_tolerant_lookup_keys(spark):
     )
     assert harmonise.harmonise_bot(normalised, lookup).first().GRUPO_RESPUESTA == "M"
     assert harmonise.harmonise_bot(normalised, lookup, null_tolerant=True).first().GRUPO_RESPUESTA == "CONTACTO"
+
+
+def test_ratios_read_one_written_daily_fact(spark, tmp_path):
+    """Neither the ratios nor the KPIs behind them make the daily fact again."""
+    source = str(tmp_path / "made_from")
+    rows = [("OP1", 10, 4, 5.0), ("OP1", 10, 4, 5.0), ("OP2", 20, 1, 30.0), (None, 5, 0, None)]
+    columns = "OPERADOR_FINAL string, Q_INTERACCIONES_TOTAL bigint, Q_CONTACTOS_EFECTIVOS bigint, MONTO_RECUPERADO double"
+    spark.createDataFrame(rows, columns).write.parquet(source)
+
+    class Tables:
+        daily = spark.read.parquet(source)
+
+        @property
+        def kpis(self):
+            return self.daily.withColumn("MONTO_COMPROMETIDO", F.col("MONTO_RECUPERADO") * 2)
+
+    ratios = reports_quality.m8(Tables())
+    assert ratios.collect() == [(9 / 45, 0.5, 45 / 2)]
+    assert ratios.inputFiles() and not any(source in file for file in ratios.inputFiles())
